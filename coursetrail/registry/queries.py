@@ -33,10 +33,20 @@ def _query(function: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFr
     return function
 
 
+_tables: dict[tuple[SparkSession, str], Tables] = {}
+
+
+def tables_of(spark: SparkSession, folder: str) -> Tables:
+    """The tables of a folder, opened once per session: later queries list no files again."""
+    if (spark, folder) not in _tables:
+        _tables[spark, folder] = Tables.from_star_schema(spark, folder)
+    return _tables[spark, folder]
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(function):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return function(Tables.from_star_schema(configure(spark), sf_dir))
+            return function(tables_of(configure(spark), sf_dir))
         return run
 
     return {name: bind(function) for name, function in _registered.items()}
