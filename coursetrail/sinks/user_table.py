@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coursetrail.session import durable_dir
@@ -24,7 +24,7 @@ class UserTable:
         self.path = path.rstrip("/")
         self.buckets = buckets
         if self.exists():
-            name = next(c for c in spark.read.parquet(self.path).columns if c.startswith(_PREFIX))
+            name = next(c for c in self._stored().columns if c.startswith(_PREFIX))
             self.buckets = int(name.removeprefix(_PREFIX))
 
     @property
@@ -42,13 +42,18 @@ class UserTable:
         files, target = self._folder(self.path + "/_SUCCESS")
         return files.exists(target)
 
+    def _stored(self) -> DataFrame:
+        # The schema lies beside the table, so that a table without rows can be read too.
+        schema = self.spark.read.parquet(self.path + ".schema").schema
+        return self.spark.read.schema(schema).parquet(self.path)
+
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path).drop(self.bucket_column)
+        return self._stored().drop(self.bucket_column)
 
     def read_users(self, users: DataFrame) -> DataFrame:
         """Rows of the given users; only their folders are listed and read."""
         touched = self._touched(users)
-        rows = self.spark.read.parquet(self.path).filter(F.col(self.bucket_column).isin(touched))
+        rows = self._stored().filter(F.col(self.bucket_column).isin(touched))
         return rows.drop(self.bucket_column).join(users.select("user_id").distinct(), "user_id", "left_semi")
 
     def _touched(self, users: DataFrame) -> list[int]:
@@ -64,20 +69,28 @@ class UserTable:
         writer.parquet(self.path)
 
     def overwrite(self, rows: DataFrame) -> None:
-        self._write(rows.select("*", self.bucket()), "overwrite")
+        rows = rows.select("*", self.bucket())
+        rows.limit(0).coalesce(1).write.mode("overwrite").parquet(self.path + ".schema")
+        self._write(rows, "overwrite")
 
     def append(self, rows: DataFrame) -> None:
         self._write(rows.select("*", self.bucket()), "append")
 
     def rewrite(self, touched: list[int], build: Callable[[DataFrame], DataFrame]) -> None:
         """Replace the touched folders by ``build(their present rows)``."""
-        present = self.spark.read.parquet(self.path).filter(F.col(self.bucket_column).isin(touched))
-        written = Observation()
-        rows = build(present.drop(self.bucket_column)).select("*", self.bucket())
-        self._write(rows.observe(written, F.collect_set(self.bucket_column).alias("buckets")), "overwrite", True)
-        for number in set(touched) - set(written.get["buckets"]):
-            files, target = self._folder(f"{self.path}/{self.bucket_column}={number}")
-            files.delete(target, True)
+        present = self._stored().filter(F.col(self.bucket_column).isin(touched))
+        before = {number: self._files(number) for number in touched}
+        self._write(build(present.drop(self.bucket_column)).select("*", self.bucket()), "overwrite", dynamic=True)
+        for number in touched:
+            # A folder that got no rows was not swapped: its files are still the old ones.
+            if self._files(number) == before[number]:
+                files, target = self._folder(f"{self.path}/{self.bucket_column}={number}")
+                files.delete(target, True)
+
+    def _files(self, number: int) -> set[str]:
+        """File names of one folder, a matter of metadata."""
+        files, target = self._folder(f"{self.path}/{self.bucket_column}={number}")
+        return {entry.getPath().getName() for entry in files.listStatus(target)} if files.exists(target) else set()
 
     def replace_users(self, rows: DataFrame, users: DataFrame) -> None:
         """Remove all rows of ``users`` and insert their ``rows``; other users stay as they are."""

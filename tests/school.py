@@ -124,11 +124,16 @@ def school() -> dict[str, list[tuple]]:
     }
 
 
+_frames: dict = {}
+
+
 def frame(spark, name: str, rows: list[tuple]):
     return spark.createDataFrame(rows, SCHEMAS[name])
 
 
 def tables(spark, **changed: list[tuple]) -> Tables:
     """The school as tables; single tables may be given other rows."""
-    rows = {**school(), **changed}
-    return Tables.from_frames(spark, {name: frame(spark, name, content) for name, content in rows.items()})
+    if not _frames:
+        _frames.update({name: frame(spark, name, rows) for name, rows in school().items()})
+    other = {name: frame(spark, name, rows) for name, rows in changed.items()}
+    return Tables.from_frames(spark, {**_frames, **other})
