@@ -54,6 +54,11 @@ def lessons(tables: Tables, category: Any = LESSON_CATEGORY, all_types: bool = T
     return rows if all_types else rows.filter(~is_excluded_type(F.col("lesson_type")))
 
 
+def lesson_lookup(tables: Tables, category: Any = LESSON_CATEGORY, all_types: bool = True) -> DataFrame:
+    """The lessons as the small side of a join, as far as their size allows."""
+    return tables.lookup(lessons(tables, category, all_types), "lessons", "lesson_types")
+
+
 def lesson_dim(tables: Tables, category: Any = LESSON_CATEGORY) -> DataFrame:
     """Active lessons joined with their active subject."""
     return active_subjects(tables).join(lessons(tables, category), "subject_id")
@@ -159,7 +164,7 @@ def subject_rows(tables: Tables, scope: Scope = EVERYONE, paths: Sequence[str] =
     if keep_unallocated:
         marks = tables.centre_subject.select("centre_id").distinct()
         offered = offered.unionByName(marks, allowMissingColumns=True)
-    offered = tables.lookup(offered, "centre_subject")
+    offered = tables.lookup(offered, "centre_subject", "subjects")
     rows = people.join(offered, "centre_id", "left" if keep_unallocated else "inner").select(
         "*",
         F.when(~staff, F.col("batch_id")).alias("batch_key"),
@@ -191,8 +196,9 @@ def subject_rows(tables: Tables, scope: Scope = EVERYONE, paths: Sequence[str] =
     if unique:
         # The career path is the same on all rows of a user, so the order starts below it.
         # Comparing with the row before keeps all windows on user_id: one exchange.
-        order = ["subject_id", "subject_order", "batch_key", "trade_key", "trade_duration"]
-        before = W.partitionBy("user_id").orderBy(*[F.col(c).asc_nulls_last() for c in order])
+        # It sorts by user and subject the way a merge join on both does, so that sort is shared.
+        order = ["subject_order", "batch_key", "trade_key", "trade_duration"]
+        before = W.partitionBy("user_id").orderBy("subject_id", *[F.col(c).asc_nulls_last() for c in order])
         rows = rows.withColumn("subject_before", F.lag("subject_id").over(before))
         first = F.col("subject_before").isNull() | (F.col("subject_before") != F.col("subject_id"))
         rows = rows.filter(first | unallocated if keep_unallocated else first)
@@ -246,7 +252,7 @@ def expand(subjects_of_users: DataFrame, lesson_rows: DataFrame) -> DataFrame:
 
 def _path(tables: Tables, scope: Scope, path: str, category: Any) -> DataFrame:
     rows = subject_rows(tables, scope, (path,), unique=False)
-    return shaped(with_basis(expand(rows, lessons(tables, category))), PATH_ALLOCATION_OUTPUT)
+    return shaped(with_basis(expand(rows, lesson_lookup(tables, category))), PATH_ALLOCATION_OUTPUT)
 
 
 def non_ple(tables: Tables, scope: Scope = EVERYONE, category: Any = LESSON_CATEGORY) -> DataFrame:
@@ -272,7 +278,7 @@ def combined(tables: Tables, scope: Scope = EVERYONE, paths: Sequence[str] = PAT
     leaves one row per user and lesson after it.
     """
     rows = subject_rows(tables, scope, paths)
-    return shaped(with_basis(expand(rows, lessons(tables, category, all_types))), ALLOCATION_OUTPUT)
+    return shaped(with_basis(expand(rows, lesson_lookup(tables, category, all_types))), ALLOCATION_OUTPUT)
 
 
 def one_per_lesson(path_rows: DataFrame) -> DataFrame:

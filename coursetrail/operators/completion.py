@@ -86,7 +86,8 @@ def results(tables: Tables, routing: str = "by_type", attempts: str = "all") ->
 
 
 def _from_own_log(path: Column, source: Column) -> Column:
-    return source.isNull() | ((source == "staff") == (path == "staff"))
+    """Staff against the staff log, everyone else against the learner log; merged results fit all."""
+    return source.isNull() | ((source == "staff") & (path == "staff")) | ((source == "learner") & (path != "staff"))
 
 
 def routed(tables: Tables, routing: str = "by_type", attempts: str = "all", scope: Scope = EVERYONE) -> DataFrame:
@@ -108,8 +109,9 @@ def open_lessons(tables: Tables) -> DataFrame:
 
 def on_open_lessons(tables: Tables, attempts: DataFrame) -> DataFrame:
     """Attempts on open lessons, and those that name no lesson (a NOT IN never removes them)."""
-    known = attempts.join(open_lessons(tables), "lesson_id", "left_semi")
-    return known.unionByName(attempts.filter(F.col("lesson_id").isNull()).select(*known.columns))
+    known = tables.lookup(open_lessons(tables).withColumn("is_open", F.lit(True)), "lessons")
+    marked = attempts.join(known, "lesson_id", "left")
+    return marked.filter(F.col("is_open") | F.col("lesson_id").isNull()).select(*attempts.columns)
 
 
 # ---------------------------------------------------------------- merge
@@ -145,7 +147,8 @@ def merge(tables: Tables, scope: Scope = EVERYONE, *, category: Any = LESSON_CAT
     if keep_unallocated:
         rows = rows.filter(F.col("subject_id").isNotNull() | (F.col("total_allocated") == 0))
 
-    done = (results(tables, routing, attempts).join(tables.lookup(lesson_rows, "lessons"), "lesson_id")
+    done = (results(tables, routing, attempts).join(
+        tables.lookup(lesson_rows, "lessons", "lesson_types"), "lesson_id")
             .withColumnsRenamed({"user_id": "done_by", "subject_id": "done_subject"}))
     matched = (
         (F.col("user_id") == F.col("done_by")) & (F.col("subject_id") == F.col("done_subject"))

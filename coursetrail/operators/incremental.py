@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from coursetrail.functions.constants import LEARNER_TYPES, STAFF_TYPES
 from coursetrail.functions.predicates import is_active
 from coursetrail.operators.completion import LOGS, completed, completed_since, latest_attempt, on_open_lessons
+from coursetrail.sinks.user_table import UserTable
 from coursetrail.sources.tables import Tables
 
 
@@ -49,6 +50,22 @@ def refreshed(tables: Tables, log: str, stored: DataFrame, since: Any) -> DataFr
     return upsert(stored, on_open_lessons(tables, completed_since(tables, log, since)))
 
 
+def update_store(tables: Tables, log: str, store: UserTable, full: bool = False) -> None:
+    """Bring a stored completion table up to date.
+
+    Attempts newer than the newest stored one are taken in; a missing or empty table, or
+    ``full``, rebuilds it. Taking some attempts twice does no harm, so the stored rows
+    themselves are the high-water mark.
+    """
+    mark = None
+    if store.exists() and not full:
+        mark = store.read().agg(F.max("completed_at")).first()[0]
+    if mark is None:
+        store.overwrite(rebuild(tables, log))
+    else:
+        store.upsert(on_open_lessons(tables, completed_since(tables, log, mark)), latest_attempt)
+
+
 def duplicate_attempts(tables: Tables) -> DataFrame:
     """Per log: finished attempts, distinct user and lesson pairs, and the difference."""
     parts = []

@@ -37,37 +37,31 @@ def subject_counts(lesson_rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.groupBy("user_id", "subject_id").agg(*[F.max(c).alias(c) for c in columns])
 
 
-def per_user(lesson_rows: DataFrame) -> DataFrame:
-    """What the summary needs of each user; the values are the same on all rows of a user."""
-    return lesson_rows.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("row_count"), F.max("allocation_path").alias("allocation_path"),
-        F.max("completion_pct").alias("completion_pct"))
-
-
 def run_summary(lesson_rows: DataFrame) -> DataFrame:
     """One row: users in total and per path, distinct subjects and lessons, rows, mean percentage.
 
-    Users, subjects and lessons are grouped before they are counted, so no set of
-    distinct values is ever held by one task.
+    Users, subjects and lessons are counted in one pass: each is a group of its own that
+    shrinks in the tasks before the shuffle, and no set of distinct values is ever held.
+    The percentage and the path are the same on all rows of a user.
     """
-    def path_count(name: str):
-        return F.count(F.when(F.col("allocation_path") == name, 1)).alias(f"{name}_users")
-
-    users = per_user(lesson_rows).agg(
-        F.count(F.lit(1)).alias("users"), path_count("ple"), path_count("non_ple"), path_count("staff"),
-        F.count(F.when(F.col("allocation_path").isNull(), 1)).alias("no_allocation_users"),
-        F.sum("row_count").alias("row_count"), F.avg("completion_pct").alias("mean_pct"))
-
-    things = (
-        lesson_rows.select(F.explode(F.array(
-            F.struct(F.lit("subject").alias("kind"), F.col("subject_id").cast("string").alias("value")),
-            F.struct(F.lit("lesson").alias("kind"), F.col("lesson_id").cast("string").alias("value")))).alias("thing"))
-        .filter("thing.value IS NOT NULL").select("thing.kind", "thing.value").distinct()
-        .agg(F.count(F.when(F.col("kind") == "subject", 1)).alias("subjects"),
-             F.count(F.when(F.col("kind") == "lesson", 1)).alias("lessons"))
-    )
-    # Both sides are single rows; the constant key keeps it an equality join.
-    joined = users.withColumn("one", F.lit(1)).join(things.withColumn("one", F.lit(1)), "one")
-    return joined.select(
-        "users", "ple_users", "non_ple_users", "staff_users", "no_allocation_users", "subjects", "lessons",
-        "row_count", round_half_even(F.col("mean_pct"), 1).alias("mean_completion_pct"))
+    kinds = {"user": "user_id", "subject": "subject_id", "lesson": "lesson_id"}
+    things = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(c).cast("string").alias("value"))
+                       for kind, c in kinds.items()])
+    groups = (
+        lesson_rows.select(F.explode(things).alias("thing"), "allocation_path", "completion_pct")
+        .filter(F.col("thing.value").isNotNull())
+        .groupBy(F.col("thing.kind").alias("kind"), F.col("thing.value").alias("value"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.max("allocation_path").alias("path"), F.max("completion_pct").alias("pct")))
+    user = F.col("kind") == "user"
+
+    def number(condition, name: str):
+        return F.count(F.when(condition, 1)).alias(name)
+
+    return groups.agg(
+        number(user, "users"), number(user & (F.col("path") == "ple"), "ple_users"),
+        number(user & (F.col("path") == "non_ple"), "non_ple_users"),
+        number(user & (F.col("path") == "staff"), "staff_users"),
+        number(user & F.col("path").isNull(), "no_allocation_users"),
+        number(F.col("kind") == "subject", "subjects"), number(F.col("kind") == "lesson", "lessons"),
+        F.coalesce(F.sum(F.when(user, F.col("rows"))), F.lit(0)).alias("row_count"),
+        round_half_even(F.avg(F.when(user, F.col("pct"))), 1).alias("mean_completion_pct"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from coursetrail.functions.constants import LESSON_CATEGORY
 from coursetrail.operators import combos, completion, incremental, rollup, users
 from coursetrail.scope import EVERYONE, Scope
+from coursetrail.session import stored
 from coursetrail.sinks.user_table import UserTable
 from coursetrail.sources.tables import Tables
 
@@ -78,7 +79,7 @@ def refresh(tables: Tables, targets: Targets, scope: Scope = EVERYONE, since: An
     everyone = since is None and not scope.names_users
     ids = None
     if not everyone:
-        ids = affected_users(tables, scope, since)
+        ids = stored(affected_users(tables, scope, since), "affected-users")
         if since is not None:
             scope = replace(scope, user_ids=ids)
     rows = lesson_level_full(tables, scope, **options)
@@ -103,6 +104,11 @@ def refresh(tables: Tables, targets: Targets, scope: Scope = EVERYONE, since: An
     return rollup.run_summary(rows)
 
 
+def preview(rows: DataFrame, n: int = 5) -> DataFrame:
+    """The first few rows, to look at."""
+    return rows.limit(n)
+
+
 def merged_after(old: DataFrame, new: DataFrame, ids: DataFrame) -> DataFrame:
     """The table after the rows of some users were exchanged, as a plan without writing."""
     return users.without(old, ids).unionByName(users.restrict(new, ids).select(*old.columns))

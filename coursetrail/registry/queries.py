@@ -205,7 +205,7 @@ def user_subject_map(t):
 
 @_query
 def allocation_two_stage(t):
-    rows = allocation.expand(allocation.subject_map(t), allocation.lessons(t, CATEGORY))
+    rows = allocation.expand(allocation.subject_map(t), allocation.lesson_lookup(t, CATEGORY))
     return shaped(rows, ALLOCATION_OUTPUT)
 
 

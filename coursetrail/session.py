@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings only; sizing (executors, memory, shuffle partitions) stays
 # with the cluster. None of them changes a result, they change how much is shuffled.
@@ -43,3 +43,10 @@ def durable_dir(spark: SparkSession, purpose: str) -> str:
             root = tempfile.mkdtemp(prefix="coursetrail-")
             context.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame to the durable folder and read it back: computed once, lineage cut."""
+    path = durable_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

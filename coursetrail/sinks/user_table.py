@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursetrail.session import durable_dir
+from coursetrail.session import stored
 
 _PREFIX = "user_bucket_of_"
 
@@ -97,9 +97,7 @@ class UserTable:
         if not self.exists():
             self.overwrite(rows)
             return
-        ids_path = durable_dir(self.spark, "replaced-users")
-        users.select("user_id").filter(F.col("user_id").isNotNull()).distinct().write.parquet(ids_path)
-        ids = self.spark.read.parquet(ids_path)
+        ids = stored(users.select("user_id").filter(F.col("user_id").isNotNull()).distinct(), "replaced-users")
         fresh = rows.join(ids, "user_id", "left_semi")
         self.rewrite(self._touched(ids), lambda present: present.join(ids, "user_id", "left_anti").unionByName(
             fresh.select(*present.columns)))

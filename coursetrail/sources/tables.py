@@ -11,9 +11,11 @@ from coursetrail.schema import SOURCE_TYPES
 from coursetrail.sources import testmap
 from coursetrail.sources.sanitize import sanitize
 
-# A lookup side is broadcast only after its rows were counted and found to be at most
-# this many (some tens of MB); beyond it the join shuffles and hot keys are split.
+# A lookup side is broadcast only after its tables were measured: at most this many rows,
+# and at most this many bytes if every row were as wide as the widest. Beyond either bound
+# the join shuffles and hot keys are split.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 128 * 1024 * 1024
 
 # The source calls the position of a subject in a centre by a reserved word.
 _RENAMES = {"centre_subject": {"order": "subject_order"}}
@@ -28,7 +30,7 @@ class Tables:
         self._loader = loader
         self._loaded: dict[str, DataFrame] = dict(replaced or {})
         self._clean_times = clean_times
-        self._small: dict[str, bool] = {}
+        self._measured: dict[str, tuple[int, int]] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in SOURCE_TYPES:
@@ -47,13 +49,26 @@ class Tables:
         """The same tables with some of them exchanged."""
         return Tables(self.spark, self._loader, {**self._loaded, **frames}, self._clean_times)
 
-    def lookup(self, side: DataFrame, bounded_by: str) -> DataFrame:
-        """Mark ``side`` for broadcast if table ``bounded_by``, which has at least as many
-        rows, is small. The count stops at the bound, so checking a huge table is cheap."""
-        if bounded_by not in self._small:
-            seen = self[bounded_by].select(F.lit(1)).limit(BROADCAST_ROWS + 1).count()
-            self._small[bounded_by] = seen <= BROADCAST_ROWS
-        return F.broadcast(side) if self._small[bounded_by] else side
+    def _measure(self, name: str) -> tuple[int, int]:
+        """Rows of a table and bytes of its widest row, looking at no more rows than the bound allows."""
+        if name not in self._measured:
+            df = self[name]
+            width = [F.coalesce(F.octet_length(c), F.lit(0)) if kind == "string" else F.lit(16) for c, kind in df.dtypes]
+            row = df.select(sum(width[1:], width[0]).alias("width")).limit(BROADCAST_ROWS + 1).agg(
+                F.count(F.lit(1)), F.coalesce(F.max("width"), F.lit(0))).first()
+            self._measured[name] = (row[0], row[1])
+        return self._measured[name]
+
+    def lookup(self, side: DataFrame, rows_of: str, *columns_of: str) -> DataFrame:
+        """Mark ``side`` for broadcast if it is proven to be small.
+
+        It has at most two rows per row of table ``rows_of``, and its columns come from
+        there and from the tables ``columns_of``.
+        """
+        measures = [self._measure(name) for name in (rows_of, *columns_of)]
+        rows, bytes_per_row = 2 * measures[0][0], sum(width for _, width in measures) + 16 * len(side.columns)
+        small = all(count <= BROADCAST_ROWS for count, _ in measures) and rows * bytes_per_row <= BROADCAST_BYTES
+        return F.broadcast(side) if small else side
 
     @classmethod
     def from_frames(cls, spark: SparkSession, frames: Mapping[str, DataFrame]) -> Tables:

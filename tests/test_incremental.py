@@ -127,3 +127,16 @@ def test_stored_allocation(spark, tmp_path):
 def test_run_summary(spark):
     row = rollup.run_summary(outputs.lesson_level_full(tables(spark))).first().asDict()
     assert row["users"] == 15 and row["no_allocation_users"] == 4 and row["ple_users"] == 1 and row["staff_users"] == 3
+
+
+def test_stored_completion(spark, tmp_path):
+    rows = school()["learning_activities"]
+    old = tables(spark, learning_activities=[r for r in rows if r[6] <= day(2)])
+    new = tables(spark, learning_activities=rows + [attempt("idle", "l5", 7.0, at=8)])
+    store = UserTable(spark, str(tmp_path / "done"), buckets=4)
+    incremental.update_store(old, "learner", store)
+    assert same(store.read(), incremental.rebuild(old, "learner"))
+    incremental.update_store(new, "learner", store)
+    assert same(store.read(), incremental.rebuild(new, "learner"))
+    incremental.update_store(old, "learner", store, full=True)
+    assert same(store.read(), incremental.rebuild(old, "learner"))
