@@ -1,16 +1,18 @@
 """Which subjects and lessons each active user is allocated.
 
-All three paths come out of one pass over the users. Everything that concerns a user
-is joined before the centre multiplies the rows, everything that concerns a subject is
-joined on the mapping side, and the optional restrictions (batch, trade, career path)
-are looked up by keys that are NULL where the path does not use them. A mapping side is
-broadcast where its size is known to be small, by Spark's statistics or by a bounded
-count (``Tables.lookup``); otherwise the join shuffles and hot keys are split.
+All three paths come out of one plan. Everything that concerns a user is joined before
+the centre multiplies the rows, everything that concerns a subject is joined on the
+mapping side, and the optional restrictions (batch, trade, career path) are looked up by
+keys that are NULL where the path does not use them. A mapping side is broadcast where
+its size is proven to be small (``Tables.lookup``); otherwise the join shuffles and hot
+keys are split.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -46,7 +48,7 @@ def lessons(tables: Tables, category: Any = LESSON_CATEGORY, all_types: bool = T
     rows = (
         tables.lessons
         .filter(is_active(F.col("status"), F.col("deleted_at")) & (F.col("lesson_category_id") == category))
-        .join(names, "lesson_type_id", "left")
+        .join(tables.lookup(names, "lesson_types"), "lesson_type_id", "left")
         .select(F.col("id").alias("lesson_id"), "subject_id", F.col("name").alias("lesson_name"), "lesson_order",
                 "lesson_type", assessment_flag(F.col("is_assessment"), F.col("name")).alias("is_assessment"),
                 toolkit_type(*access).alias("toolkit_type"), *ACCESS)
@@ -90,7 +92,7 @@ def career_path(tables: Tables) -> DataFrame:
     """The enrolment that counts: the latest one, if its career path still exists."""
     paths = tables.ple_career_paths.filter(F.col("deleted_at").isNull()).select(
         F.col("id").alias("career_path_id"), F.col("name").alias("career_path_name"))
-    return latest_enrolment(tables).join(paths, "career_path_id")
+    return latest_enrolment(tables).join(tables.lookup(paths, "ple_career_paths"), "career_path_id")
 
 
 def _centre_subjects(tables: Tables, scope: Scope, unique: bool, counts: DataFrame | None) -> DataFrame:
@@ -108,9 +110,14 @@ def _centre_subjects(tables: Tables, scope: Scope, unique: bool, counts: DataFra
 # ---------------------------------------------------------------- user x subject
 
 
-def _pairs(df: DataFrame, unique: bool, flag: str, **names: str) -> DataFrame:
-    pairs = df.select(*[F.col(source).alias(target) for target, source in names.items()])
-    return (pairs.distinct() if unique else pairs).withColumn(flag, F.lit(True))
+# The mapping tables a user's subjects are looked up in, and the columns they are looked up by.
+MAPPINGS = ("centre_subject", "subjects", "batch_subject", "subject_trade", "subject_ple_career_path")
+PROFILE = ("allocation_path", "role", "centre_id", "batch_key", "trade_key", "career_path_id", "trade_duration")
+
+
+def _pairs(tables: Tables, name: str, unique: bool, flag: str, **keys: str) -> DataFrame:
+    pairs = tables[name].select(*[F.col(source).alias(target) for target, source in keys.items()], "subject_id")
+    return tables.lookup((pairs.distinct() if unique else pairs).withColumn(flag, F.lit(True)), name)
 
 
 def _people(tables: Tables, scope: Scope, paths: Sequence[str], profiles: str) -> DataFrame:
@@ -142,56 +149,71 @@ def _people(tables: Tables, scope: Scope, paths: Sequence[str], profiles: str) -
         enrolled, (F.col("user_id") == F.col("enrolled_user")) & (F.col("allocation_path") == "ple"), "left",
     ).drop("enrolled_user")
     durations = tables.trades.select(F.col("id").alias("trade_id"), F.col("duration").alias("trade_duration"))
-    return people.join(durations, "trade_id", "left")
-
-
-def subject_rows(tables: Tables, scope: Scope = EVERYONE, paths: Sequence[str] = PATHS, *,
-                 unique: bool = True, counts: DataFrame | None = None,
-                 keep_unallocated: bool = False) -> DataFrame:
-    """User x subject rows before lessons come in.
-
-    ``unique`` leaves one row per user and subject. ``counts`` (see ``subject_counts``)
-    adds ``n_total`` and ``n_assessments`` for the user's role and drops subjects that
-    hold nothing for it. ``keep_unallocated`` adds, for every profile row of every user,
-    one row whose ``subject_id`` is NULL.
-    """
-    profiles = "everyone" if keep_unallocated else "distinct" if unique else "each"
-    people = _people(tables, scope, paths, profiles)
     staff = F.col("allocation_path") == "staff"
-    people = scope.profile(people, exempt=None if keep_unallocated else staff)
-
+    # What a path does not look at is NULL in its key.
+    return people.join(tables.lookup(durations, "trades"), "trade_id", "left").withColumns({
+        "role": access_role(F.col("user_type"), F.col("is_master_trainer")),
+        "batch_key": F.when(~staff, F.col("batch_id")),
+        "trade_key": F.when(F.col("allocation_path") == "non_ple", F.col("trade_id")),
+        "trade_duration": F.when(~staff, F.col("trade_duration")),
+    })
+
+
+def _with_subjects(tables: Tables, profiles: DataFrame, scope: Scope, unique: bool, counts: DataFrame | None,
+                   keep_unallocated: bool) -> DataFrame:
+    """Joins the subjects that the PROFILE columns of each row allow."""
     offered = _centre_subjects(tables, scope, unique, counts)
     if keep_unallocated:
         marks = tables.centre_subject.select("centre_id").distinct()
         offered = offered.unionByName(marks, allowMissingColumns=True)
     offered = tables.lookup(offered, "centre_subject", "subjects")
-    rows = people.join(offered, "centre_id", "left" if keep_unallocated else "inner").select(
-        "*",
-        F.when(~staff, F.col("batch_id")).alias("batch_key"),
-        F.when(F.col("allocation_path") == "non_ple", F.col("trade_id")).alias("trade_key"))
-
-    batch = _pairs(tables.batch_subject, unique, "in_batch", batch_key="batch_id", subject_id="subject_id")
-    trade = _pairs(tables.subject_trade, unique, "in_trade", trade_key="trade_id", subject_id="subject_id")
-    career = _pairs(tables.subject_ple_career_path, unique, "on_path", career_path_id="ple_career_path_id",
-                    subject_id="subject_id")
-    rows = (rows.join(career, ["career_path_id", "subject_id"], "left")
+    batch = _pairs(tables, "batch_subject", unique, "in_batch", batch_key="batch_id")
+    trade = _pairs(tables, "subject_trade", unique, "in_trade", trade_key="trade_id")
+    career = _pairs(tables, "subject_ple_career_path", unique, "on_path", career_path_id="ple_career_path_id")
+    rows = (profiles.join(offered, "centre_id", "left" if keep_unallocated else "inner")
+            .join(career, ["career_path_id", "subject_id"], "left")
             .join(batch, ["batch_key", "subject_id"], "left")
             .join(trade, ["trade_key", "subject_id"], "left"))
 
-    duration = F.when(~staff, F.col("trade_duration"))
     allowed = (
         platform_allows(F.col("allocation_path"), F.col("subject_is_ple"))
         & ((F.col("allocation_path") != "ple") | F.col("on_path").isNotNull())
         & (F.col("batch_key").isNull() | F.col("in_batch").isNotNull())
         & (F.col("trade_key").isNull() | F.col("in_trade").isNotNull())
-        & year_allows(F.col("year_to_map"), duration)
+        & year_allows(F.col("year_to_map"), F.col("trade_duration"))
     )
-    unallocated = F.col("subject_id").isNull()
-    rows = rows.withColumn("role", access_role(F.col("user_type"), F.col("is_master_trainer")))
     if counts is not None:
         rows = rows.select("*", _for_role("total").alias("n_total"), _for_role("assessments").alias("n_assessments"))
         allowed = allowed & (F.col("n_total") > 0)
-    rows = rows.filter(unallocated | allowed if keep_unallocated else allowed)
+    return rows.filter(F.col("subject_id").isNull() | allowed if keep_unallocated else allowed)
+
+
+def subject_rows(tables: Tables, scope: Scope = EVERYONE, paths: Sequence[str] = PATHS, *,
+                 unique: bool = True, counts: DataFrame | None = None,
+                 keep_unallocated: bool = False) -> DataFrame:
+    """User x subject rows before lessons come in.
+
+    ``unique`` leaves one row per user and subject. ``counts`` (see ``subject_counts``)
+    adds ``n_total`` and ``n_assessments`` for the user's role and drops subjects that
+    hold nothing for it. ``keep_unallocated`` adds, for every profile row of every user,
+    one row whose ``subject_id`` is NULL.
+
+    With small mapping tables the users are multiplied where they lie. With large ones
+    the lookups would shuffle user x subject rows once per mapping table, so they are done
+    for the distinct profiles first and the users are joined to the outcome.
+    """
+    profiles = "everyone" if keep_unallocated else "distinct" if unique else "each"
+    people = _people(tables, scope, paths, profiles)
+    people = scope.profile(people, exempt=None if keep_unallocated else F.col("allocation_path") == "staff")
+    rules = (scope, unique, counts, keep_unallocated)
+    if all(tables.is_small(name) for name in MAPPINGS):
+        rows = _with_subjects(tables, people, *rules)
+    else:
+        outcome = _with_subjects(tables, people.select(*PROFILE).distinct(), *rules)
+        outcome = outcome.withColumnsRenamed({c: f"profile_{c}" for c in PROFILE})
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"profile_{c}")) for c in PROFILE])
+        rows = people.join(outcome, same)
+    unallocated = F.col("subject_id").isNull()
 
     if unique:
         # The career path is the same on all rows of a user, so the order starts below it.
@@ -213,7 +235,7 @@ def subject_rows(tables: Tables, scope: Scope = EVERYONE, paths: Sequence[str] =
         F.when(unallocated, F.col("trade_id")).otherwise(F.col("trade_key")).alias("trade_id"),
         *[allocated_only(F.col(c)).alias(c) for c in ("career_path_id", "career_path_name", "career_path_updated_at")],
         "subject_id", "subject_name", "subject_is_ple", "ple_career_path_id", "year_to_map", "subject_order",
-        allocated_only(duration).alias("trade_duration"),
+        allocated_only(F.col("trade_duration")).alias("trade_duration"),
         allocated_only(F.col("allocation_path")).alias("allocation_path"), *extra)
 
 

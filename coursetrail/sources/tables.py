@@ -59,16 +59,19 @@ class Tables:
             self._measured[name] = (row[0], row[1])
         return self._measured[name]
 
+    def is_small(self, name: str, *columns_of: str) -> bool:
+        """Whether two rows per row of ``name``, with the columns of all these tables, stay in bounds."""
+        measures = [self._measure(table) for table in (name, *columns_of)]
+        width = sum(bytes_per_row for _, bytes_per_row in measures) + 256
+        return all(rows <= BROADCAST_ROWS for rows, _ in measures) and 2 * measures[0][0] * width <= BROADCAST_BYTES
+
     def lookup(self, side: DataFrame, rows_of: str, *columns_of: str) -> DataFrame:
         """Mark ``side`` for broadcast if it is proven to be small.
 
-        It has at most two rows per row of table ``rows_of``, and its columns come from
-        there and from the tables ``columns_of``.
+        It has at most two rows per row of table ``rows_of``; its columns come from there
+        and from the tables ``columns_of``, and up to 16 more are numbers or flags.
         """
-        measures = [self._measure(name) for name in (rows_of, *columns_of)]
-        rows, bytes_per_row = 2 * measures[0][0], sum(width for _, width in measures) + 16 * len(side.columns)
-        small = all(count <= BROADCAST_ROWS for count, _ in measures) and rows * bytes_per_row <= BROADCAST_BYTES
-        return F.broadcast(side) if small else side
+        return F.broadcast(side) if self.is_small(rows_of, *columns_of) else side
 
     @classmethod
     def from_frames(cls, spark: SparkSession, frames: Mapping[str, DataFrame]) -> Tables:
