@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from coursetrail.functions.constants import LEARNER_TYPES, LESSON_CATEGORY, PATHS, STAFF_TYPES
 from coursetrail.functions.predicates import is_active, is_active_user, role_sees, round_half_even
 from coursetrail.operators import allocation
-from coursetrail.schema import LESSON_LEVEL_FULL_OUTPUT, LESSON_LEVEL_OUTPUT, shaped
+from coursetrail.schema import LESSON, LESSON_LEVEL_FULL_OUTPUT, LESSON_LEVEL_OUTPUT, shaped
 from coursetrail.scope import EVERYONE, Scope
 from coursetrail.sources.tables import Tables
 
@@ -198,29 +198,20 @@ def merge_exploded(tables: Tables, scope: Scope = EVERYONE, *, category: Any = L
     """The same result by way of every user x lesson row; only to compare with ``merge``."""
     merged = with_completion(
         allocation.combined(tables, scope, category=category, all_types=all_types), tables, routing, attempts)
-    counts = {
-        "{}_allocated": F.lit(1), "{}_completed": F.col("completed"),
-    }
-    per_user, per_subject = [], []
-    for pattern, value in counts.items():
-        total, graded = F.sum(value), F.sum(value * F.col("is_assessment"))
-        for target, name in ((per_user, "total"), (per_subject, "subj_total")):
-            short = "total_" if name == "total" else "subj_"
-            kind = pattern.format("")[1:]
-            target += [total.alias(f"{name}_{kind}"), (total - graded).alias(f"{short}lessons_{kind}"),
-                       graded.alias(f"{short}assessments_{kind}")]
-    users = merged.groupBy("user_id").agg(*per_user)
-    subjects = merged.groupBy("user_id", "subject_id").agg(*per_subject)
-    merged = merged.join(users, "user_id").join(subjects, ["user_id", "subject_id"])
-    merged = merged.withColumn("completion_pct", _share(F.col("total_completed"), F.col("total_allocated")))
-
-    finished = merged.filter(F.col("completed") == 1)
-    order = ["subject_order", "batch_id", "lesson_id"]
-    rank = F.row_number().over(W.partitionBy("user_id", "subject_id").orderBy(*[F.col(c).asc_nulls_last() for c in order]))
-    stubs = (merged.filter(F.col("total_completed") == 0).withColumn("rn", rank).filter("rn = 1")
-             .drop("rn", "lesson_id", "lesson_name", "lesson_order", "lesson_type", "is_assessment", "toolkit_type",
-                   "score", "rating", "duration"))
-    return shaped(finished.unionByName(stubs, allowMissingColumns=True), LESSON_LEVEL_OUTPUT)
+    user, subject = W.partitionBy("user_id"), W.partitionBy("user_id", "subject_id")
+    columns = {}
+    for kind, value in (("allocated", F.lit(1)), ("completed", F.col("completed"))):
+        for over, total, short in ((subject, "subj_total", "subj"), (user, "total", "total")):
+            every, graded = F.sum(value).over(over), F.sum(value * F.col("is_assessment")).over(over)
+            columns |= {f"{total}_{kind}": every, f"{short}_lessons_{kind}": every - graded,
+                        f"{short}_assessments_{kind}": graded}
+    columns["stub_rank"] = F.row_number().over(subject.orderBy("lesson_id"))
+    merged = merged.withColumns(columns).withColumn(
+        "completion_pct", _share(F.col("total_completed"), F.col("total_allocated")))
+
+    done = F.col("completed") == 1
+    kept = merged.filter(done | ((F.col("total_completed") == 0) & (F.col("stub_rank") == 1)))
+    return shaped(kept.withColumns({c: F.when(done, F.col(c)) for c in LESSON}), LESSON_LEVEL_OUTPUT)
 
 
 def with_completion(allocated: DataFrame, tables: Tables, routing: str = "by_type",
