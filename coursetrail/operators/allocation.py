@@ -56,11 +56,6 @@ def lessons(tables: Tables, category: Any = LESSON_CATEGORY, all_types: bool = T
     return rows if all_types else rows.filter(~is_excluded_type(F.col("lesson_type")))
 
 
-def lesson_lookup(tables: Tables, category: Any = LESSON_CATEGORY, all_types: bool = True) -> DataFrame:
-    """The lessons as the small side of a join, as far as their size allows."""
-    return tables.lookup(lessons(tables, category, all_types), "lessons", "lesson_types")
-
-
 def lesson_dim(tables: Tables, category: Any = LESSON_CATEGORY) -> DataFrame:
     """Active lessons joined with their active subject."""
     return active_subjects(tables).join(lessons(tables, category), "subject_id")
@@ -264,17 +259,27 @@ def subject_map(tables: Tables, scope: Scope = EVERYONE, paths: Sequence[str] =
 # ---------------------------------------------------------------- user x lesson
 
 
-def expand(subjects_of_users: DataFrame, lesson_rows: DataFrame) -> DataFrame:
-    """Multiply user x subject rows by the lessons the user's role may see."""
-    rows = subjects_of_users
+def expand(tables: Tables, subjects_of_users: DataFrame, category: Any = LESSON_CATEGORY,
+           all_types: bool = True) -> DataFrame:
+    """Multiply user x subject rows by the lessons the user's role may see.
+
+    A few bytes of user x subject rows become many of lessons, so partitions sized by
+    their input would be far too large. The rows are spread by user and subject first,
+    which also splits a user with very many subjects.
+    """
+    rows, lesson_rows = subjects_of_users, lessons(tables, category, all_types)
     if "role" not in rows.columns:
         rows = rows.withColumn("role", access_role(F.col("user_type"), F.col("is_master_trainer")))
+    if tables.is_small("lessons", "lesson_types"):
+        spark = tables.spark
+        spread = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+        rows, lesson_rows = rows.repartition(spread, "user_id", "subject_id"), F.broadcast(lesson_rows)
     return rows.join(lesson_rows, "subject_id").filter(role_sees(F.col("role"), *[F.col(c) for c in ACCESS]))
 
 
 def _path(tables: Tables, scope: Scope, path: str, category: Any) -> DataFrame:
     rows = subject_rows(tables, scope, (path,), unique=False)
-    return shaped(with_basis(expand(rows, lesson_lookup(tables, category))), PATH_ALLOCATION_OUTPUT)
+    return shaped(with_basis(expand(tables, rows, category)), PATH_ALLOCATION_OUTPUT)
 
 
 def non_ple(tables: Tables, scope: Scope = EVERYONE, category: Any = LESSON_CATEGORY) -> DataFrame:
@@ -300,7 +305,7 @@ def combined(tables: Tables, scope: Scope = EVERYONE, paths: Sequence[str] = PAT
     leaves one row per user and lesson after it.
     """
     rows = subject_rows(tables, scope, paths)
-    return shaped(with_basis(expand(rows, lesson_lookup(tables, category, all_types))), ALLOCATION_OUTPUT)
+    return shaped(with_basis(expand(tables, rows, category, all_types)), ALLOCATION_OUTPUT)
 
 
 def one_per_lesson(path_rows: DataFrame) -> DataFrame:

@@ -52,7 +52,7 @@ WHERE status = 1 AND deleted_at IS NULL
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY updated_at DESC NULLS LAST, id DESC) = 1""",
     "subject_paths": f"""
 SELECT {_PERSON}, p.batch_id, p.trade_id, p.is_master_trainer, {_NO_CAREER}, {_SUBJECT}, c.subject_order,
-  p.duration AS trade_duration, 'non_ple' AS allocation_path
+  p.duration AS trade_duration, p.trade_id AS own_trade, 'non_ple' AS allocation_path
 FROM learners p JOIN centre_subject c ON c.centre_id = p.centre_id JOIN live_subjects s ON s.id = c.subject_id
 LEFT JOIN batch_subject b ON b.batch_id = p.batch_id AND b.subject_id = s.id
 LEFT JOIN subject_trade t ON t.trade_id = p.trade_id AND t.subject_id = s.id
@@ -60,7 +60,7 @@ WHERE coalesce(p.is_ple, 0) <> 1 AND s.is_ple IN (0, 2) AND {_BATCH_OK}
   AND (p.trade_id IS NULL OR t.id IS NOT NULL) AND {_YEAR_OK}
 UNION ALL
 SELECT {_PERSON}, p.batch_id, NULL, p.is_master_trainer, k.id, k.name, e.career_path_updated_at, {_SUBJECT}, c.subject_order,
-  p.duration, 'ple'
+  p.duration, p.trade_id, 'ple'
 FROM learners p JOIN enrolments e ON e.user_id = p.id
 JOIN ple_career_paths k ON k.id = e.career_path_id AND k.deleted_at IS NULL
 JOIN centre_subject c ON c.centre_id = p.centre_id JOIN live_subjects s ON s.id = c.subject_id
@@ -68,7 +68,7 @@ JOIN subject_ple_career_path m ON m.ple_career_path_id = k.id AND m.subject_id =
 LEFT JOIN batch_subject b ON b.batch_id = p.batch_id AND b.subject_id = s.id
 WHERE p.is_ple = 1 AND s.is_ple IN (1, 2) AND {_BATCH_OK} AND {_YEAR_OK}
 UNION ALL
-SELECT {_PERSON}, NULL, NULL, p.is_master_trainer, {_NO_CAREER}, {_SUBJECT}, c.subject_order, NULL, 'staff'
+SELECT {_PERSON}, NULL, NULL, p.is_master_trainer, {_NO_CAREER}, {_SUBJECT}, c.subject_order, NULL, NULL, 'staff'
 FROM live_users p JOIN centre_subject c ON c.centre_id = p.centre_id JOIN live_subjects s ON s.id = c.subject_id
 WHERE p.type IN (1, 2) AND s.is_ple IN (0, 1, 2)""",
     "path_lessons": f"""
@@ -271,8 +271,8 @@ FROM dump""",
         f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}" for name in sorted(SOURCE_TYPES)),
     "allocation_for_users": f"SELECT {_names(ALLOCATION_OUTPUT)} FROM allocated WHERE user_id IN (SELECT user_id FROM changed)",
     "allocation_scoped": f"""
-SELECT {_names(ALLOCATION_OUTPUT)} FROM (SELECT * FROM path_lessons WHERE centre_id = {SCOPE.centre_id}
-  AND (allocation_path = 'staff' OR batch_id = {SCOPE.batch_id}))
+SELECT {_names(ALLOCATION_OUTPUT)} FROM (SELECT * FROM path_lessons
+  WHERE allocation_path = 'staff' OR own_trade = '{SCOPE.trade_id}')
 QUALIFY row_number() OVER (PARTITION BY user_id, lesson_id
   ORDER BY career_path_updated_at DESC NULLS LAST, lesson_order NULLS LAST, {_TIES}) = 1""",
     "users_by_path": """

@@ -20,8 +20,8 @@ from coursetrail.sources.tables import Tables, source_profile
 # The test mapping numbers its lesson categories; 1 is the one that counts.
 CATEGORY = 1
 # Moments and scopes of the incremental and scoped examples.
-SINCE = "2000-01-01 00:00:00"
-SCOPE = Scope(centre_id=3, batch_id=7)
+SINCE = "2001-10-01 00:00:00"
+SCOPE = Scope(trade_id="BUILDING")
 CENTRE = Scope(centre_id=3)
 
 _registered: dict[str, Callable[[Tables], DataFrame]] = {}
@@ -205,7 +205,7 @@ def user_subject_map(t):
 
 @_query
 def allocation_two_stage(t):
-    rows = allocation.expand(allocation.subject_map(t), allocation.lesson_lookup(t, CATEGORY))
+    rows = allocation.expand(t, allocation.subject_map(t), CATEGORY)
     return shaped(rows, ALLOCATION_OUTPUT)
 
 

@@ -60,7 +60,7 @@ def test_ways_to_the_allocation_agree(spark):
     combined = allocation.combined(t)
     raw = allocation.non_ple(t).unionByName(allocation.ple(t)).unionByName(allocation.staff(t))
     for other in (allocation.one_per_lesson(raw),
-                  allocation.expand(allocation.subject_map(t), allocation.lessons(t)).select(*combined.columns)):
+                  allocation.expand(t, allocation.subject_map(t)).select(*combined.columns)):
         assert combined.exceptAll(other).isEmpty() and other.exceptAll(combined).isEmpty()
 
 
