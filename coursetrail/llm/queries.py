@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coursetrail.llm import simhash
+from coursetrail.llm import simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,13 +15,30 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.removals(table(spark, folder, "documents"))
+
+
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS s FROM d, unnest(range(1, len(w) - 33)) AS t(i)),
+repeated AS (SELECT s FROM windows GROUP BY s HAVING count(*) > 1),
+gone AS (SELECT doc_id, list(DISTINCT i + k) AS g
+         FROM windows SEMI JOIN repeated USING (s), unnest(range(35)) AS o(k) GROUP BY doc_id),
+kept AS (SELECT d.doc_id, len(w) AS n_words, coalesce(len(g), 0) AS n_removed,
+                CASE WHEN g IS NULL THEN w ELSE list_filter(w, (x, i) -> NOT list_contains(g, i)) END AS k
+         FROM d LEFT JOIN gone USING (doc_id))
+SELECT doc_id, n_words, n_removed, sha256(coalesce(array_to_string(k, ' '), '')) AS kept_sha256 FROM kept
+"""
+
+
 def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op9_simhash_near_dedup,)}
+    return {f.__name__: f for f in (op6_substring_dedup, op9_simhash_near_dedup)}
 
 
 def all_sql() -> dict[str, str]:
-    return {}
+    return {"op6_substring_dedup": OP6_SQL}
