@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coursetrail.llm import simhash, substrings
+from coursetrail.llm import ppm, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,18 +26,22 @@ repeated AS (SELECT s FROM windows GROUP BY s HAVING count(*) > 1),
 gone AS (SELECT doc_id, list(DISTINCT i + k) AS g
          FROM windows SEMI JOIN repeated USING (s), unnest(range(35)) AS o(k) GROUP BY doc_id),
 kept AS (SELECT d.doc_id, len(w) AS n_words, coalesce(len(g), 0) AS n_removed,
-                CASE WHEN g IS NULL THEN w ELSE list_filter(w, (x, i) -> NOT list_contains(g, i)) END AS k
+                CASE WHEN g IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(g, i)) END AS k
          FROM d LEFT JOIN gone USING (doc_id))
 SELECT doc_id, n_words, n_removed, sha256(coalesce(array_to_string(k, ' '), '')) AS kept_sha256 FROM kept
 """
 
 
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return ppm.identify(table(spark, folder, "documents"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op6_substring_dedup, op9_simhash_near_dedup)}
+    return {f.__name__: f for f in (op6_substring_dedup, op7_language_id, op9_simhash_near_dedup)}
 
 
 def all_sql() -> dict[str, str]:
