@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coursetrail.llm import ppm, simhash, substrings
+from coursetrail.llm import ppm, repair, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a public vocabulary file; only the driver reads it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_token_output(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.round_trip(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"), end=2)
+
+
 def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.removals(table(spark, folder, "documents"))
 
@@ -41,7 +52,7 @@ def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op6_substring_dedup, op7_language_id, op9_simhash_near_dedup)}
+    return {f.__name__: f for f in (op5_token_output, op6_substring_dedup, op7_language_id, op9_simhash_near_dedup)}
 
 
 def all_sql() -> dict[str, str]:
