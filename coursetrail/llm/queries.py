@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coursetrail.llm import ppm, repair, simhash, substrings
+from coursetrail.llm import digest, pieces, ppm, repair, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,14 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quartile_digest(spark: SparkSession, folder: str) -> DataFrame:
+    return digest.digests(table(spark, folder, "documents"))
+
+
+def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.round_trip(table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op5_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return repair.round_trip(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"), end=2)
 
@@ -52,7 +60,7 @@ def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op5_token_output, op6_substring_dedup, op7_language_id, op9_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_quartile_digest, op4_sentencepiece, op5_token_output, op6_substring_dedup, op7_language_id, op9_simhash_near_dedup)}
 
 
 def all_sql() -> dict[str, str]:
