@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coursetrail.llm import digest, pieces, ppm, repair, simhash, substrings
+from coursetrail.llm import digest, mixing, pieces, ppm, repair, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,55 @@ def op1_quartile_digest(spark: SparkSession, folder: str) -> DataFrame:
     return digest.digests(table(spark, folder, "documents"))
 
 
+def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixture(table(spark, folder, "documents"), entropy=0.97, repeat=4.0)
+
+
+OP2_SQL = r"""
+WITH RECURSIVE rows_ AS (
+  SELECT doc_id, source, coalesce('=' || source, '') AS key,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) + 1 AS BIGINT) AS n_tokens FROM documents),
+numbered AS (
+  SELECT *, CAST('0x' || substr(md5('0|' || key || '|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS number FROM rows_),
+dealt AS (SELECT *, CAST(number % 4096 AS INTEGER) AS block FROM numbered),
+sizes AS (SELECT key, block, CAST(sum(n_tokens) AS BIGINT) AS n FROM dealt GROUP BY key, block),
+sources AS (SELECT key, CAST(sum(n) AS BIGINT) AS n FROM sizes GROUP BY key),
+all_ AS (SELECT list(CAST(n AS DOUBLE) ORDER BY key) AS ns, CAST(sum(n) AS DOUBLE) AS total, ln(count(*)) AS most FROM sources),
+halving(i, e_low, e_high, r_low, r_high) AS (
+  SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE, 0.0::DOUBLE, 1.0::DOUBLE
+  UNION ALL
+  SELECT i + 1, CASE WHEN e_ok THEN e_mid ELSE e_low END, CASE WHEN e_ok THEN e_high ELSE e_mid END,
+         CASE WHEN r_ok THEN r_low ELSE r_mid END, CASE WHEN r_ok THEN r_mid ELSE r_high END
+  FROM (SELECT h.*, (e_low + e_high) / 2 AS e_mid, (r_low + r_high) / 2 AS r_mid,
+               list_sum(list_transform(ns, lambda x: pow(x / total, (e_low + e_high) / 2))) AS s,
+               list_sum(list_transform(ns, lambda x: pow(x / total, (e_low + e_high) / 2) * ln(pow(x / total, (e_low + e_high) / 2)))) AS l,
+               ln(s) - l / s >= 0.97 * most - 1e-12 AS e_ok,
+               list_max(list_transform(ns, lambda x: pow(x / total, (r_low + r_high) / 2) / x))
+                 / list_sum(list_transform(ns, lambda x: pow(x / total, (r_low + r_high) / 2))) * total <= 4 + 1e-12 AS r_ok
+        FROM halving h, all_ WHERE i < 30)),
+chosen AS (SELECT round(greatest(e_low, r_high), 6) AS a FROM halving WHERE i = 30),
+shares AS (
+  SELECT key, n AS source_tokens, CAST(floor(pow(n / total, a) / list_sum(list_transform(ns, lambda x: pow(x / total, a))) * total + 0.5) AS BIGINT) AS share
+  FROM sources, all_, chosen),
+ordered AS (
+  SELECT * FROM (
+    SELECT key, block, epoch, share, epoch * source_tokens + coalesce(sum(n) OVER (
+             PARTITION BY key, epoch ORDER BY CAST('0x' || substr(md5('0|' || epoch || '|' || key || '|' || block), 1, 15) AS BIGINT), block
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS block_start
+    FROM sizes JOIN shares USING (key),
+         unnest(range(CAST(greatest(ceil(share / source_tokens), 1) AS BIGINT))) AS t(epoch))
+  WHERE block_start < share),
+placed AS (
+  SELECT d.doc_id, d.source, d.n_tokens, o.epoch, d.block, o.share, o.block_start + d.inner_ AS start
+  FROM (SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY key, block ORDER BY number, doc_id, n_tokens
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS inner_ FROM dealt) d
+  JOIN ordered o USING (key, block) WHERE o.block_start + d.inner_ < o.share)
+SELECT doc_id, source, n_tokens, CAST(epoch AS INTEGER) AS epoch, block, CAST(start AS BIGINT) AS start,
+       CAST((CAST(start AS HUGEINT) * greatest(1, ((SELECT CAST(total AS BIGINT) FROM all_) + 1048575) // 1048576)) // share AS BIGINT) AS mix_block
+FROM placed
+"""
+
+
 def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.round_trip(table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
@@ -60,8 +109,8 @@ def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quartile_digest, op4_sentencepiece, op5_token_output, op6_substring_dedup, op7_language_id, op9_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_quartile_digest, op2_source_mixing, op4_sentencepiece, op5_token_output, op6_substring_dedup, op7_language_id, op9_simhash_near_dedup)}
 
 
 def all_sql() -> dict[str, str]:
-    return {"op6_substring_dedup": OP6_SQL}
+    return {"op2_source_mixing": OP2_SQL, "op6_substring_dedup": OP6_SQL}
