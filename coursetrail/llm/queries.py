@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coursetrail.llm import digest, mixing, pieces, ppm, repair, simhash, substrings
+from coursetrail.llm import digest, mixing, pieces, ppm, repair, simhash, substrings, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,13 +104,29 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return ppm.identify(table(spark, folder, "documents"))
 
 
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages"))
+
+
+OP8_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+f AS (SELECT *, sha1(payload) AS hex, min(page_id) OVER (PARTITION BY payload) AS first_ FROM p)
+SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         CAST((CAST('0x' || substr(hex, CAST(i // 4 * 5 + 1 AS BIGINT), 5) AS BIGINT) >> (15 - i % 4 * 5)) & 31 AS BIGINT) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first_ THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_ THEN first_ END AS refers_to
+FROM f
+"""
+
+
 def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quartile_digest, op2_source_mixing, op4_sentencepiece, op5_token_output, op6_substring_dedup, op7_language_id, op9_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_quartile_digest, op2_source_mixing, op4_sentencepiece, op5_token_output, op6_substring_dedup, op7_language_id, op8_warc, op9_simhash_near_dedup)}
 
 
 def all_sql() -> dict[str, str]:
-    return {"op2_source_mixing": OP2_SQL, "op6_substring_dedup": OP6_SQL}
+    return {"op2_source_mixing": OP2_SQL, "op6_substring_dedup": OP6_SQL, "op8_warc": OP8_SQL}
