@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coursetrail.llm import digest, mixing, pieces, ppm, repair, simhash, substrings, warc
+from coursetrail.llm import digest, main_text, mixing, pieces, ppm, repair, simhash, substrings, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -124,8 +124,12 @@ def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text.extracted(table(spark, folder, "pages"))
+
+
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quartile_digest, op2_source_mixing, op4_sentencepiece, op5_token_output, op6_substring_dedup, op7_language_id, op8_warc, op9_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_quartile_digest, op2_source_mixing, op4_sentencepiece, op5_token_output, op6_substring_dedup, op7_language_id, op8_warc, op9_simhash_near_dedup, op10_main_text)}
 
 
 def all_sql() -> dict[str, str]:
