@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from coursetrail.llm import digest, main_text, mixing, pieces, ppm, repair, simhash, substrings, warc
+from coursetrail.llm import digest, hnsw, main_text, mixing, pieces, ppm, repair, simhash, substrings, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +76,10 @@ FROM placed
 """
 
 
+def op3_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return hnsw.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.round_trip(table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
@@ -129,7 +134,7 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quartile_digest, op2_source_mixing, op4_sentencepiece, op5_token_output, op6_substring_dedup, op7_language_id, op8_warc, op9_simhash_near_dedup, op10_main_text)}
+    return {f.__name__: f for f in (op1_quartile_digest, op2_source_mixing, op3_nearest_neighbours, op4_sentencepiece, op5_token_output, op6_substring_dedup, op7_language_id, op8_warc, op9_simhash_near_dedup, op10_main_text)}
 
 
 def all_sql() -> dict[str, str]:
