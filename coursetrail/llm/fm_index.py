@@ -84,7 +84,8 @@ class FMIndex:
         """The suffixes that start with the word and go on as those in lo..hi: one step backwards."""
         symbol = word + 1
         base = self.first[symbol] - self.start[symbol]
-        return base + self.tree.place(symbol, lo), base + self.tree.place(symbol, hi)
+        both = self.tree.place(np.concatenate((symbol, symbol)), np.concatenate((lo, hi)))
+        return base + both[:len(word)], base + both[len(word):]
 
     def count(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         return self.weight[hi] - self.weight[lo]

@@ -41,6 +41,7 @@ from coursetrail.session import stored
 
 WINDOW = 35
 GRAM = 8
+STRETCH = 32  # windows; longer stretches are cut
 SHARD_WORDS = 1 << 18
 SPACE = pa.scalar(" ", pa.large_string())
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -97,6 +98,10 @@ def stretches(texts: pa.Array, window: int = WINDOW, gram: int = GRAM) -> dict[s
     new = np.concatenate(([True], (least[1:] != least[:-1]) | (row[1:] != row[:-1])))
     begin = np.flatnonzero(new)
     size = np.diff(np.concatenate((begin, [len(at)])))
+    # A minimizer lasts longer only where it recurs, in passages that repeat themselves.
+    pieces = -(-size // STRETCH)
+    begin = np.repeat(begin, pieces) + STRETCH * ranges(np.zeros(len(pieces), np.int64), pieces)
+    size = np.minimum(np.diff(np.concatenate((begin, [len(at)]))), STRETCH)
     first, minimizer, words = at[begin], least[begin], size + window - 1
     content = _mixed((sums[first + words] - sums[first]) * back[first] + words.astype(np.uint64))
     spans = words - gram + 1
