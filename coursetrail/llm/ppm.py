@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from coursetrail.llm.words import coded
+from coursetrail.llm.words import coded, pieces_of
 
 ORDER = 4
 UNKNOWN = "und"
@@ -156,38 +156,49 @@ def sample(docs: DataFrame, rows_per_language: int = 300, sample_chars: int = 20
     return found
 
 
+def scored(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(language, score, bits per byte) of each text."""
+    names, size = np.array([*model.languages, UNKNOWN], object), len(model.languages)
+    offsets, codes, distinct = coded(pc.utf8_lower(texts))
+    letters = np.asarray(pc.fill_null(pc.match_substring_regex(texts, LETTER), False))
+    if not size:
+        return np.full(len(texts), UNKNOWN, object), np.zeros(len(texts)), np.zeros(len(texts))
+    sums = np.zeros((len(codes) + 1, size))
+    np.cumsum(model.words(distinct.cast(pa.large_binary()).to_pylist())[codes], axis=0, out=sums[1:])
+    lengths = sums[offsets[1:]] - sums[offsets[:-1]]
+    best = lengths.argmin(axis=1)
+    least = lengths[np.arange(len(best)), best]
+    score = 1 / np.exp2(np.maximum(least[:, None] - lengths, -1000)).sum(axis=1)
+    n_bytes = np.asarray(pc.fill_null(pc.binary_length(texts), 0)) + 1
+    return names[np.where(letters, best, size)], np.where(letters, score, 0.0), least / n_bytes
+
+
 def predicted(docs: DataFrame, model: Model) -> DataFrame:
     """docs (doc_id, held_out, text) as (doc_id, held_out, lang_pred, score, bits_per_byte)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        names = np.array([*model.languages, UNKNOWN], object)
-        for batch in batches:
-            texts = batch.column("text")
-            offsets, codes, distinct = coded(pc.utf8_lower(texts))
-            size = len(model.languages)
-            sums = np.zeros((len(codes) + 1, size))
-            if size:
-                np.cumsum(model.words(distinct.cast(pa.large_binary()).to_pylist())[codes], axis=0, out=sums[1:])
-            lengths = sums[offsets[1:]] - sums[offsets[:-1]]
-            letters = np.asarray(pc.fill_null(pc.match_substring_regex(texts, LETTER), False)) & bool(size)
-            n_bytes = np.asarray(pc.fill_null(pc.binary_length(texts), 0)) + 1
-            if size:
-                best = lengths.argmin(axis=1)
-                least = lengths[np.arange(len(best)), best]
-                score = 1 / np.exp2(np.maximum(least[:, None] - lengths, -1000)).sum(axis=1)
-            else:
-                best = least = score = np.zeros(len(texts), np.int64)
-            yield pa.record_batch({
-                "doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"),
-                "lang_pred": pa.array(names[np.where(letters, best, size)], pa.string()),
-                "score": pa.array(np.where(letters, score, 0.0)), "bits_per_byte": pa.array(least / n_bytes)})
+        for batch in pieces_of(batches, "text"):
+            language, score, bits = scored(batch.column("text"), shared.value)
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"), "lang_pred": pa.array(language, pa.string()),
+                                   "score": pa.array(score), "bits_per_byte": pa.array(bits)})
 
     return docs.select("doc_id", "held_out", "text").mapInArrow(
         rows, "doc_id bigint, held_out boolean, lang_pred string, score double, bits_per_byte double")
 
 
+def in_known_language(docs: DataFrame, rows_per_language: int = 300, sample_chars: int = 20_000, order: int = ORDER) -> DataFrame:
+    """docs without the rows whose language is unknown: null texts, and those without a letter; columns stay as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(learn(sample(docs, rows_per_language, sample_chars), order))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces_of(batches, "text"):
+            language, _, _ = scored(batch.column("text"), shared.value)
+            yield batch.filter(pa.array(language != UNKNOWN))
+
+    return docs.mapInArrow(rows, docs.schema)
+
+
 def identify(docs: DataFrame, rows_per_language: int = 300, sample_chars: int = 20_000, order: int = ORDER) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, bits_per_byte) for every row of docs (doc_id, text, lang).
 

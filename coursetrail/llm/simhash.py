@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from coursetrail.llm.components import connected
 from coursetrail.llm.order import parts
@@ -63,14 +64,16 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """(doc_id, fp) of every row; fp is the fingerprint's bits as a signed long."""
+    """Every row of docs with its text replaced by fp, the fingerprint's bits as a signed long."""
+    others = [c for c in docs.columns if c != "text"]
+    schema = T.StructType([docs.schema[c] for c in others] + [T.StructField("fp", T.LongType())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column("text")], dtype=np.uint64)
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "fp": pa.array(fps.view(np.int64))})
+            yield pa.record_batch([batch.column(c) for c in others] + [pa.array(fps.view(np.int64))], names=[*others, "fp"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(rows, "doc_id bigint, fp bigint")
+    return docs.select(*others, "text").mapInArrow(rows, schema)
 
 
 # ---------------------------------------------------------------- tries
@@ -257,6 +260,13 @@ def _links(values: np.ndarray, starts: np.ndarray, sides: np.ndarray, trie: tupl
 # ---------------------------------------------------------------- documents
 
 
+def classes(fps: DataFrame, budget: int = 4) -> DataFrame:
+    """(fp, root) for every distinct fingerprint: the least fingerprint that it reaches over links."""
+    roots = stored(connected(linked(fps, budget)), "roots")
+    distinct = fps.select("fp").distinct()
+    return distinct.join(roots, distinct.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, budget: int = 4) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of docs (doc_id, text).
 
@@ -264,11 +274,29 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, budget: int = 4) -> DataF
     links, itself included. Rows repeated with one doc_id each get a row. Rows with a null doc_id take part; their
     component_id is the smallest doc_id reachable, null if there is none. Other columns play no part.
     """
-    every = stored(fingerprints(docs, shingle), "fingerprints")
+    every = stored(fingerprints(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), shingle), "fingerprints")
     smallest = every.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = stored(connected(linked(every, budget)), "roots")
-    groups = smallest.join(roots, smallest.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+    groups = classes(every, budget).join(smallest, "fp")
     least = groups.groupBy("root").agg(F.min("least").alias("component_id"))
     class_of = groups.join(least, "root").select("fp", "component_id")
     return every.join(class_of, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def without_near_duplicates(docs: DataFrame, shingle: int = 4, budget: int = 4) -> DataFrame:
+    """docs with one row of each class: that with the smallest doc_id (a null one counts as largest), then the smallest
+    hash of its text; of rows repeated with one id and text, one."""
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    slim = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    every = stored(fingerprints(slim, shingle), "fingerprints")
+    first = every.groupBy("fp").agg(F.min(order).alias("first"))
+    chosen = classes(every, budget).join(first, "fp").groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.text_hash")
+    keyed = docs.withColumn(name := _free_name(docs), F.xxhash64("text"))
+    same = keyed["doc_id"].eqNullSafe(chosen["doc_id"]) & (keyed[name] == chosen["text_hash"])
+    return keyed.join(chosen, same, "left_semi").dropDuplicates(["doc_id", name]).drop(name)
+
+
+def _free_name(docs: DataFrame, name: str = "text_hash") -> str:
+    while name in docs.columns:
+        name += "_"
+    return name

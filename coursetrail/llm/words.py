@@ -6,6 +6,8 @@ depends on the word alone is then done once per distinct word of a batch.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -43,3 +45,14 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     shift = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
     return np.arange(total, dtype=np.int64) + shift
+
+
+def pieces_of(batches: Iterator[pa.RecordBatch], column: str, size: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+    """The rows of batches in pieces of about `size` bytes of a text column, one row at least."""
+    for batch in batches:
+        ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64) + 1)
+        begin = 0
+        while begin < batch.num_rows:
+            stop = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + size, side="right")))
+            yield batch.slice(begin, stop - begin)
+            begin = stop
