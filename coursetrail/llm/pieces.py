@@ -32,10 +32,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from coursetrail.llm.words import ranges
+from coursetrail.llm.words import pieces_of, ranges
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
+KNOWN = 400_000  # cuts kept from batch to batch
 IN_STEP = 1024  # bytes; longer cuts are searched one by one
 CUT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
@@ -113,8 +114,8 @@ class Vocabulary:
         for at in order[:long]:
             ids = self._one(cuts[at])
             found.append((np.array([at]), np.array([len(ids)]), ids))
-        for begin in range(long, len(order), 1 << 17):
-            some = order[begin:begin + (1 << 17)]
+        for begin in range(long, len(order), 1 << 16):
+            some = order[begin:begin + (1 << 16)]
             sizes, ids = self._in_step([cuts[i] for i in some], lengths[some])
             found.append((some, sizes, ids))
         offsets = np.zeros(len(cuts) + 1, np.int64)
@@ -263,7 +264,7 @@ class Vocabulary:
             for i, p in zip(rest, pieces, strict=True):
                 new[own[i]:own[i + 1]] = p
             codes, offsets = new, own
-        if len(known) > 1 << 20:
+        if len(known) > KNOWN:
             known.clear()
             store.clear()
         if not store:
@@ -291,7 +292,7 @@ def _encoded(docs: DataFrame, model: str, columns: list[str], schema: str | T.St
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, known, store = Vocabulary(shared.value), {}, []
-        for batch in batches:
+        for batch in pieces_of(batches, "text"):
             yield row_of(batch, vocabulary, *vocabulary.encode(batch.column("text"), known, store))
 
     return docs.select(*columns).mapInArrow(rows, schema)

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from coursetrail.llm.fm_index import FMIndex, repeated_windows
 from coursetrail.llm.order import parts
-from coursetrail.llm.words import coded, ranges
+from coursetrail.llm.words import coded, pieces_of, ranges
 from coursetrail.session import stored
 
 WINDOW = 35
@@ -121,7 +121,7 @@ def _same_document(a: DataFrame, b: DataFrame):
 
 def _stretch_rows(docs: DataFrame, window: int, gram: int) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces_of(batches, "text"):
             found = stretches(batch.column("text"), window, gram)
             row = pa.array(found.pop("row"))
             out = {"doc_id": batch.column("doc_id").take(row), "text_hash": batch.column("text_hash").take(row)}
@@ -140,7 +140,7 @@ def _cut_out(docs: DataFrame, places: DataFrame, window: int) -> DataFrame:
     # Of rows repeated with one id and text, each would give the words; a stretch is kept once.
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces_of(batches, "text"):
             lists = batch.column("wanted")
             want = lists.flatten()
             row = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
@@ -206,7 +206,8 @@ def sharded(batches: Iterator[pa.RecordBatch], key: str, sized: str, size: int)
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_words: int = SHARD_WORDS) -> DataFrame:
     """(doc_id, text_hash, spans): for each document with repeated windows, the word intervals [a, b) to remove."""
     every = stored(_stretch_rows(docs, window, gram), "stretches")
-    repeated = every.groupBy("minimizer").agg(F.sum("places").alias("n")).where("n > 1").select("minimizer")
+    # Stored, so that both sides of the join come as they lie, and a minimizer with very many rows can be split.
+    repeated = stored(every.groupBy("minimizer").agg(F.sum("places").alias("n")).where("n > 1").select("minimizer"), "minimizers")
     keep = stored(every.join(repeated, "minimizer", "left_semi"), "stretches")
     place = F.struct("doc_id", "text_hash", "first", "windows")
     chosen = keep.groupBy("minimizer", "content").agg(F.count("*").alias("copies"), F.min(place).alias("place")).select(
@@ -246,7 +247,7 @@ def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     frame = _with_spans(docs, repeated_spans(docs, window), "doc_id", "text")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces_of(batches, "text"):
             words, gone, digests = _kept(batch.column("text"), batch.column("spans"), text_out=False)
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "n_words": words, "n_removed": gone, "kept_sha256": pa.array(digests, pa.string())})
 
@@ -266,7 +267,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     schema = docs.schema
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces_of(batches, "text"):
             texts = batch.column("text")
             _, gone, joined = _kept(texts, batch.column("spans"), text_out=True)
             changed = pc.greater(gone, 0)
