@@ -105,6 +105,8 @@ class WarcReader(DataSourceReader):
         return [WarcFile(f.path) for f in sorted(found, key=lambda f: f.path) if f.base_name.endswith(".warc") and not f.base_name.startswith((".", "_"))]
 
     def read(self, partition: WarcFile) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # no files, no partitions
+            return
         system, _ = filesystem(self.path)
         equal = self.equal
         names = [*HEADERS, "payload"]
