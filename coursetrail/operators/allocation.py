@@ -11,6 +11,7 @@ keys are split.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from functools import reduce
 from operator import and_
 from typing import Any
@@ -24,6 +25,7 @@ from coursetrail.functions.predicates import (
     access_role, allocation_path, assessment_flag, is_active, is_active_user, is_excluded_type, platform_allows,
     role_sees, toolkit_type, year_allows,
 )
+from coursetrail.operators import users
 from coursetrail.schema import ALLOCATION_OUTPUT, PATH_ALLOCATION_OUTPUT, SUBJECT_MAP_OUTPUT, shaped
 from coursetrail.scope import EVERYONE, Scope
 from coursetrail.sources.tables import Tables
@@ -71,11 +73,11 @@ def subject_counts(lesson_rows: DataFrame) -> DataFrame:
     return lesson_rows.groupBy("subject_id").agg(*counts)
 
 
-def latest_enrolment(tables: Tables) -> DataFrame:
-    """The newest active career path enrolment of each user, the larger id on a tie."""
+def latest_enrolment(tables: Tables, scope: Scope = EVERYONE) -> DataFrame:
+    """The newest active career path enrolment of each user in the scope, the larger id on a tie."""
     newest = W.partitionBy("user_id").orderBy(F.col("updated_at").desc_nulls_last(), F.col("id").desc())
     return (
-        tables.ple_career_path_user
+        users.in_hand(tables.ple_career_path_user, tables, scope)
         .filter(is_active(F.col("status"), F.col("deleted_at")))
         .withColumn("rn", F.row_number().over(newest)).filter("rn = 1")
         .select("user_id", F.col("job_type_id").alias("career_path_id"),
@@ -83,11 +85,11 @@ def latest_enrolment(tables: Tables) -> DataFrame:
     )
 
 
-def career_path(tables: Tables) -> DataFrame:
+def career_path(tables: Tables, scope: Scope = EVERYONE) -> DataFrame:
     """The enrolment that counts: the latest one, if its career path still exists."""
     paths = tables.ple_career_paths.filter(F.col("deleted_at").isNull()).select(
         F.col("id").alias("career_path_id"), F.col("name").alias("career_path_name"))
-    return latest_enrolment(tables).join(tables.lookup(paths, "ple_career_paths"), "career_path_id")
+    return latest_enrolment(tables, scope).join(tables.lookup(paths, "ple_career_paths"), "career_path_id")
 
 
 def _centre_subjects(tables: Tables, scope: Scope, unique: bool, counts: DataFrame | None) -> DataFrame:
@@ -105,8 +107,7 @@ def _centre_subjects(tables: Tables, scope: Scope, unique: bool, counts: DataFra
 # ---------------------------------------------------------------- user x subject
 
 
-# The mapping tables a user's subjects are looked up in, and the columns they are looked up by.
-MAPPINGS = ("centre_subject", "subjects", "batch_subject", "subject_trade", "subject_ple_career_path")
+# The columns a user's subjects are looked up by.
 PROFILE = ("allocation_path", "role", "centre_id", "batch_key", "trade_key", "career_path_id", "trade_duration")
 
 
@@ -121,14 +122,16 @@ def _people(tables: Tables, scope: Scope, paths: Sequence[str], profiles: str) -
     ``profiles``: ``"each"`` keeps every profile row of a learner, ``"distinct"`` counts
     equal ones, ``"everyone"`` does the same and attaches them to staff too.
     """
-    users = scope.users(tables.users.filter(is_active_user()), user_id="id").select(
+    people = scope.users(tables.users.filter(is_active_user()), user_id="id").select(
         F.col("id").alias("user_id"), F.col("name").alias("user_name"), F.col("type").alias("user_type"),
         "is_master_trainer", "centre_id", "project_id", "is_ple",
         allocation_path(F.col("type"), F.col("is_ple")).alias("allocation_path"))
     if set(paths) != set(PATHS):
-        users = users.filter(F.col("allocation_path").isin(*paths))
+        people = people.filter(F.col("allocation_path").isin(*paths))
 
-    details = tables.student_details.select("user_id", "batch_id", "trade_id")
+    # Staff have their place in the scope whatever their batch and trade; who is in hand goes by the rest of it.
+    in_hand = replace(scope, batch_id=None, trade_id=None)
+    details = users.in_hand(tables.student_details.select("user_id", "batch_id", "trade_id"), tables, in_hand)
     if profiles == "each":
         details = details.withColumn("profile_copies", F.lit(1))
     else:
@@ -137,9 +140,9 @@ def _people(tables: Tables, scope: Scope, paths: Sequence[str], profiles: str) -
     matches = F.col("user_id") == F.col("profile_of")
     if profiles != "everyone":
         matches = matches & (F.col("allocation_path") != "staff")
-    people = users.join(details.withColumnRenamed("user_id", "profile_of"), matches, "left").drop("profile_of")
+    people = people.join(details.withColumnRenamed("user_id", "profile_of"), matches, "left").drop("profile_of")
 
-    enrolled = career_path(tables).withColumnRenamed("user_id", "enrolled_user")
+    enrolled = career_path(tables, in_hand).withColumnRenamed("user_id", "enrolled_user")
     people = people.join(
         enrolled, (F.col("user_id") == F.col("enrolled_user")) & (F.col("allocation_path") == "ple"), "left",
     ).drop("enrolled_user")
@@ -193,21 +196,16 @@ def subject_rows(tables: Tables, scope: Scope = EVERYONE, paths: Sequence[str] =
     hold nothing for it. ``keep_unallocated`` adds, for every profile row of every user,
     one row whose ``subject_id`` is NULL.
 
-    With small mapping tables the users are multiplied where they lie. With large ones
-    the lookups would shuffle user x subject rows once per mapping table, so they are done
-    for the distinct profiles first and the users are joined to the outcome.
+    Subjects are looked up for the distinct profiles, and the users are joined to the outcome:
+    with large mapping tables, each of them would else shuffle all user x subject rows.
     """
     profiles = "everyone" if keep_unallocated else "distinct" if unique else "each"
     people = _people(tables, scope, paths, profiles)
     people = scope.profile(people, exempt=None if keep_unallocated else F.col("allocation_path") == "staff")
-    rules = (scope, unique, counts, keep_unallocated)
-    if all(tables.is_small(name) for name in MAPPINGS):
-        rows = _with_subjects(tables, people, *rules)
-    else:
-        outcome = _with_subjects(tables, people.select(*PROFILE).distinct(), *rules)
-        outcome = outcome.withColumnsRenamed({c: f"profile_{c}" for c in PROFILE})
-        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"profile_{c}")) for c in PROFILE])
-        rows = people.join(outcome, same)
+    outcome = _with_subjects(tables, people.select(*PROFILE).distinct(), scope, unique, counts, keep_unallocated)
+    outcome = outcome.withColumnsRenamed({c: f"profile_{c}" for c in PROFILE})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"profile_{c}")) for c in PROFILE])
+    rows = people.join(outcome, same)
     unallocated = F.col("subject_id").isNull()
 
     if unique:

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from coursetrail.functions.constants import PHASE_KEYS, SUBJECT_KEYS
 from coursetrail.functions.predicates import round_half_even
+from coursetrail.operators import users
 from coursetrail.schema import USER_JSON_TARGET, require
 from coursetrail.scope import EVERYONE, Scope
 from coursetrail.sources.tables import Tables
 
+# Column names and short JSON keys of the output.
 USER_COLUMNS = ["tlo_users_id", "user_name", "gender", "created_at", "centre_name", "org_name", "state_name",
                 "district_name", "trade", "batch_name", "batch_status", "centre_type", "user_type", "platform",
                 "is_ple", "ple_enabled"]
@@ -55,8 +57,8 @@ def ple_label(ple_enabled: Column) -> Column:
 
 def user_project_phase(tables: Tables, scope: Scope = EVERYONE) -> DataFrame:
     """Users with every project of their centre and the phase they are in there, if any."""
-    users = scope.profile(scope.users(tables.main_users, user_id="id"))
-    users = users.select(
+    people = scope.profile(scope.users(tables.main_users, user_id="id"))
+    people = people.select(
         F.col("id").alias("tlo_users_id"), F.col("name").alias("user_name"), "gender", "created_at", "centre_name",
         F.col("organisation_name").alias("org_name"), F.col("centre_state").alias("state_name"),
         F.col("centre_district").alias("district_name"), "trade", "batch_name",
@@ -69,7 +71,7 @@ def user_project_phase(tables: Tables, scope: Scope = EVERYONE) -> DataFrame:
         F.col("p_user_id").alias("tlo_users_id"), F.col("p_batch_id").alias("batch_id"),
         F.col("p_centre_id").alias("centre_id"), F.col("p_project_id").alias("project_id"), "p_phase_id",
         F.col("phase_name").alias("phase"))
-    rows = users.join(projects, "centre_id", "left").join(
+    rows = people.join(projects, "centre_id", "left").join(
         phases, ["tlo_users_id", "batch_id", "centre_id", "project_id"], "left")
     return rows.select(
         *[c for c in USER_COLUMNS if c != "ple_enabled"], ple_label(F.col("ple_enabled")).alias("ple_enabled"),
@@ -111,16 +113,20 @@ def subject(subject_rows: DataFrame) -> DataFrame:
         _json_array(_record(SUBJECT_KEYS)).alias("subject_combos"), *[F.max(c).alias(c) for c in OVERALL])
 
 
-def first_login(tables: Tables) -> DataFrame:
-    """Earliest login per user."""
-    return tables.login_logs.filter(F.col("user_id").isNotNull()).groupBy(
+def first_login(tables: Tables, scope: Scope = EVERYONE) -> DataFrame:
+    """Earliest login per user in the scope."""
+    # The users of the JSON table are those of the reporting view, so batch and trade are looked up there.
+    logs = tables.login_logs
+    if scope.names_users:
+        logs = users.restrict(logs, scope.profile(scope.users(tables.main_users, user_id="id")).select(F.col("id").alias("user_id")))
+    return logs.filter(F.col("user_id").isNotNull()).groupBy(
         F.col("user_id").alias("tlo_users_id")).agg(F.min("created_at").alias("first_login"))
 
 
 def user_json(tables: Tables, subject_rows: DataFrame, scope: Scope = EVERYONE) -> DataFrame:
     """One row per user: profile, both JSON arrays, totals and first login."""
     people = project_phase(user_project_phase(tables, scope))
-    rows = people.join(subject(subject_rows), "tlo_users_id", "left").join(first_login(tables), "tlo_users_id", "left")
+    rows = people.join(subject(subject_rows), "tlo_users_id", "left").join(first_login(tables, scope), "tlo_users_id", "left")
     counts = [c for c in OVERALL if c != "rounded_completion"]
     return rows.withColumns({
         "created_at": F.to_date("created_at"), "first_login": F.to_date("first_login"),

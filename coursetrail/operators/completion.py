@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import Window as W
 
 from coursetrail.functions.constants import LEARNER_TYPES, LESSON_CATEGORY, PATHS, STAFF_TYPES
 from coursetrail.functions.predicates import is_active, is_active_user, role_sees, round_half_even
-from coursetrail.operators import allocation
+from coursetrail.operators import allocation, users
 from coursetrail.schema import LESSON, LESSON_LEVEL_FULL_OUTPUT, LESSON_LEVEL_OUTPUT, shaped
 from coursetrail.scope import EVERYONE, Scope
 from coursetrail.sources.tables import Tables
@@ -23,17 +24,24 @@ ATTEMPT = ["user_id", "lesson_id", "score", "rating", "duration", "completed_at"
 # ---------------------------------------------------------------- activity logs
 
 
-def completed(tables: Tables, log: str) -> DataFrame:
-    """Finished attempts of one log; the filter and the columns reach the scan."""
-    return tables[LOGS[log]].filter(F.col("completed") == 1).select(*ATTEMPT)
+def completed(tables: Tables, log: str, scope: Scope = EVERYONE) -> DataFrame:
+    """Finished attempts of one log; the filter and the columns reach the scan.
+
+    With a scope, attempts of other users go before anything is grouped. A stored completion
+    table may stand for a log: it has no flag, because all its attempts are finished.
+    """
+    rows = tables[LOGS[log]]
+    if "completed" in rows.columns:
+        rows = rows.filter(F.col("completed") == 1)
+    return users.in_hand(rows.select(*ATTEMPT), tables, scope)
 
 
 def completed_since(tables: Tables, log: str, since: Any) -> DataFrame:
     """Finished attempts newer than a moment, of active users the log is meant for."""
     types = LEARNER_TYPES if log == "learner" else STAFF_TYPES
-    users = tables.users.filter(is_active(F.col("status"), F.col("deleted_at")) & F.col("type").isin(*types))
+    meant = tables.users.filter(is_active(F.col("status"), F.col("deleted_at")) & F.col("type").isin(*types))
     newer = completed(tables, log).filter(F.col("completed_at") > F.lit(since).cast("timestamp_ntz"))
-    return newer.join(users.select(F.col("id").alias("user_id")), "user_id", "left_semi")
+    return newer.join(meant.select(F.col("id").alias("user_id")), "user_id", "left_semi")
 
 
 def newest_first() -> list[Column]:
@@ -53,15 +61,15 @@ def by_lesson(attempts: DataFrame) -> DataFrame:
         F.max("score").alias("score"), F.max("rating").alias("rating"), F.sum("duration").alias("duration"))
 
 
-def lesson_results(tables: Tables, log: str, attempts: str = "all") -> DataFrame:
+def lesson_results(tables: Tables, log: str, attempts: str = "all", scope: Scope = EVERYONE) -> DataFrame:
     if attempts not in ("all", "latest"):
         raise ValueError(f"attempts must be 'all' or 'latest', not {attempts!r}")
-    rows = completed(tables, log)
+    rows = completed(tables, log, scope)
     return by_lesson(rows if attempts == "all" else latest_attempt(rows)).withColumn("source", F.lit(log))
 
 
-def both_logs(tables: Tables, attempts: str = "all") -> DataFrame:
-    return lesson_results(tables, "learner", attempts).unionByName(lesson_results(tables, "staff", attempts))
+def both_logs(tables: Tables, attempts: str = "all", scope: Scope = EVERYONE) -> DataFrame:
+    return lesson_results(tables, "learner", attempts, scope).unionByName(lesson_results(tables, "staff", attempts, scope))
 
 
 def best_across_logs(results: DataFrame) -> DataFrame:
@@ -71,13 +79,13 @@ def best_across_logs(results: DataFrame) -> DataFrame:
     return results.withColumn("rn", rank).filter("rn = 1").drop("rn")
 
 
-def results(tables: Tables, routing: str = "by_type", attempts: str = "all") -> DataFrame:
-    """Lesson results of everybody.
+def results(tables: Tables, routing: str = "by_type", attempts: str = "all", scope: Scope = EVERYONE) -> DataFrame:
+    """Lesson results of everybody in the scope.
 
     ``by_type`` keeps the logs apart (column ``source``), to be matched with the kind of
     user later; ``union`` merges both logs for everyone (``source`` is NULL).
     """
-    rows = both_logs(tables, attempts)
+    rows = both_logs(tables, attempts, scope)
     if routing == "by_type":
         return rows
     if routing == "union":
@@ -92,9 +100,9 @@ def _from_own_log(path: Column, source: Column) -> Column:
 
 def routed(tables: Tables, routing: str = "by_type", attempts: str = "all", scope: Scope = EVERYONE) -> DataFrame:
     """Lesson results of active users, each from the log of their user type."""
-    users = scope.users(tables.users.filter(is_active_user()), user_id="id").select(
+    kinds = scope.users(tables.users.filter(is_active_user()), user_id="id").select(
         F.col("id").alias("user_id"), F.when(F.col("type").isin(*STAFF_TYPES), "staff").otherwise("learner").alias("kind"))
-    rows = results(tables, routing, attempts).join(users, "user_id")
+    rows = results(tables, routing, attempts, scope).join(kinds, "user_id")
     return rows.filter(F.col("source").isNull() | (F.col("source") == F.col("kind"))).select(
         *KEYS, "score", "rating", F.lit(None).cast("string").alias("data_from"), "duration")
 
@@ -132,6 +140,9 @@ def merge(tables: Tables, scope: Scope = EVERYONE, *, category: Any = LESSON_CAT
     totals are windows over that one arrangement. What a window holds for a user is
     bounded by the catalogue: one row per subject and one per completed lesson.
     """
+    if scope.batch_id is not None or scope.trade_id is not None:
+        # Users come first: allocation alone lets staff pass whatever their batch and trade.
+        scope = replace(scope, user_ids=users.chosen(tables, scope))
     lesson_rows = allocation.lessons(tables, category, all_types)
     rows = allocation.subject_rows(tables, scope, paths, counts=allocation.subject_counts(lesson_rows),
                                    keep_unallocated=keep_unallocated)
@@ -147,7 +158,7 @@ def merge(tables: Tables, scope: Scope = EVERYONE, *, category: Any = LESSON_CAT
     if keep_unallocated:
         rows = rows.filter(F.col("subject_id").isNotNull() | (F.col("total_allocated") == 0))
 
-    done = (results(tables, routing, attempts).join(
+    done = (results(tables, routing, attempts, scope).join(
         tables.lookup(lesson_rows, "lessons", "lesson_types"), "lesson_id")
             .withColumnsRenamed({"user_id": "done_by", "subject_id": "done_subject"}))
     matched = (
@@ -196,8 +207,13 @@ def merge(tables: Tables, scope: Scope = EVERYONE, *, category: Any = LESSON_CAT
 def merge_exploded(tables: Tables, scope: Scope = EVERYONE, *, category: Any = LESSON_CATEGORY,
                    all_types: bool = False, routing: str = "by_type", attempts: str = "all") -> DataFrame:
     """The same result by way of every user x lesson row; only to compare with ``merge``."""
-    merged = with_completion(
-        allocation.combined(tables, scope, category=category, all_types=all_types), tables, routing, attempts)
+    if scope.batch_id is not None or scope.trade_id is not None:
+        scope = replace(scope, user_ids=users.chosen(tables, scope))
+    # The windows carry ids, flags and results; names and the like come back at the end, by user and subject.
+    rows = allocation.subject_rows(tables, scope)
+    slim = allocation.expand(tables, rows.select("user_id", "subject_id", "role", "allocation_path"), category, all_types).select(
+        "user_id", "subject_id", "allocation_path", *LESSON)
+    merged = with_completion(slim, tables, routing, attempts, scope)
     user, subject = W.partitionBy("user_id"), W.partitionBy("user_id", "subject_id")
     columns = {}
     for kind, value in (("allocated", F.lit(1)), ("completed", F.col("completed"))):
@@ -210,14 +226,15 @@ def merge_exploded(tables: Tables, scope: Scope = EVERYONE, *, category: Any = L
         "completion_pct", _share(F.col("total_completed"), F.col("total_allocated")))
 
     done = F.col("completed") == 1
-    kept = merged.filter(done | ((F.col("total_completed") == 0) & (F.col("stub_rank") == 1)))
-    return shaped(kept.withColumns({c: F.when(done, F.col(c)) for c in LESSON}), LESSON_LEVEL_OUTPUT)
+    kept = merged.filter(done | ((F.col("total_completed") == 0) & (F.col("stub_rank") == 1))).drop("allocation_path")
+    wide = kept.join(allocation.with_basis(rows), ["user_id", "subject_id"])
+    return shaped(wide.withColumns({c: F.when(done, F.col(c)) for c in LESSON}), LESSON_LEVEL_OUTPUT)
 
 
-def with_completion(allocated: DataFrame, tables: Tables, routing: str = "by_type",
-                    attempts: str = "all") -> DataFrame:
+def with_completion(allocated: DataFrame, tables: Tables, routing: str = "by_type", attempts: str = "all",
+                    scope: Scope = EVERYONE) -> DataFrame:
     """Left join of allocated lessons with their results; ``completed`` is 1 where one exists."""
-    done = results(tables, routing, attempts).withColumnsRenamed({"user_id": "done_by", "lesson_id": "done_lesson"})
+    done = results(tables, routing, attempts, scope).withColumnsRenamed({"user_id": "done_by", "lesson_id": "done_lesson"})
     matched = (
         (F.col("user_id") == F.col("done_by")) & (F.col("lesson_id") == F.col("done_lesson"))
         & _from_own_log(F.col("allocation_path"), F.col("source"))

@@ -7,9 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from coursetrail.session import folder
 from coursetrail.sources.tables import Tables
 
-# Every column that the allocation joins, filters or outputs.
+# Fixed values, names of the source: every column that the allocation joins, filters or outputs.
 WATCHED: dict[str, list[str]] = {
     "batch_subject": ["id", "batch_id", "subject_id"],
     "centre_subject": ["id", "centre_id", "subject_id", "subject_order"],
@@ -56,12 +57,12 @@ def changed_tables(current: DataFrame, snapshot: DataFrame, strategy: str = "has
 
 
 def allocation_changed(tables: Tables, snapshot_path: str, strategy: str = "hash") -> bool:
-    """True if any watched table changed; a snapshot that cannot be read counts as a change."""
-    try:
-        snapshot = tables.spark.read.parquet(snapshot_path)
-        return not changed_tables(table_fingerprint(tables), snapshot, strategy).filter("changed").isEmpty()
-    except Exception:  # no snapshot, or a source that fails: rebuild
+    """True if any watched table changed, or if there is no snapshot yet."""
+    files, target = folder(tables.spark, snapshot_path)
+    if not files.exists(target):
         return True
+    snapshot = tables.spark.read.parquet(snapshot_path)
+    return not changed_tables(table_fingerprint(tables), snapshot, strategy).filter("changed").isEmpty()
 
 
 def save_snapshot(tables: Tables, snapshot_path: str) -> None:

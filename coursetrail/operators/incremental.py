@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -50,20 +51,38 @@ def refreshed(tables: Tables, log: str, stored: DataFrame, since: Any) -> DataFr
     return upsert(stored, on_open_lessons(tables, completed_since(tables, log, since)))
 
 
-def update_store(tables: Tables, log: str, store: UserTable, full: bool = False) -> None:
+def recent(tables: Tables, log: str, since: Any) -> DataFrame:
+    """Finished attempts from ``since`` on, those of that very moment and those without a time too, of users the log is meant for."""
+    types = LEARNER_TYPES if log == "learner" else STAFF_TYPES
+    meant = tables.users.filter(is_active(F.col("status"), F.col("deleted_at")) & F.col("type").isin(*types))
+    rows = completed(tables, log)
+    if since is not None:
+        rows = rows.filter(F.col("completed_at").isNull() | (F.col("completed_at") >= F.lit(since).cast("timestamp_ntz")))
+    return on_open_lessons(tables, rows.join(meant.select(F.col("id").alias("user_id")), "user_id", "left_semi"))
+
+
+def update_store(tables: Tables, log: str, store: UserTable, full: bool = False,
+                 overlap: timedelta | None = timedelta(days=7)) -> None:
     """Bring a stored completion table up to date.
 
-    Attempts newer than the newest stored one are taken in; a missing or empty table, or
-    ``full``, rebuilds it. Taking some attempts twice does no harm, so the stored rows
-    themselves are the high-water mark.
+    The latest finish time that the log held at the last update is kept beside the table as its
+    mark. Attempts from ``overlap`` before the mark on are taken in again, with those that
+    have no time: taking some twice does no harm. ``overlap`` is how late an attempt may
+    reach the log; with None the whole log is compared and no lateness is too large.
+    A table without mark, or ``full``, is rebuilt.
     """
+    path = store.path + ".mark"
+    seen = completed(tables, log).agg(F.max("completed_at")).first()[0]
     mark = None
-    if store.exists() and not full:
-        mark = store.read().agg(F.max("completed_at")).first()[0]
+    if store.exists() and not full and store.has(path):
+        mark = store.spark.read.parquet(path).first()[0]
     if mark is None:
         store.overwrite(rebuild(tables, log))
     else:
-        store.upsert(on_open_lessons(tables, completed_since(tables, log, mark)), latest_attempt)
+        store.upsert(recent(tables, log, mark - overlap if overlap is not None else None), latest_attempt)
+    # Last, so that a failed update is done again from the old mark.
+    if seen is not None:
+        store.spark.createDataFrame([(max(seen, mark or seen),)], "mark timestamp_ntz").coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def duplicate_attempts(tables: Tables) -> DataFrame:

@@ -17,8 +17,8 @@ def subject_level(lesson_rows: DataFrame) -> DataFrame:
     rows = lesson_rows.filter(F.col("subject_id").isNotNull())
     computed = ("avg_score", "avg_rating", "avg_duration", "total_duration", "user_id", "subject_id")
     same = [c for c in SUBJECT_LEVEL_OUTPUT if c not in computed]
-    result = rows.groupBy("user_id", "subject_id").agg(
-        *[F.first(c).alias(c) for c in same],
+    # What is the same on all rows of a key is part of it: so the rows are hashed, and never sorted for it.
+    result = rows.groupBy("user_id", "subject_id", *same).agg(
         round_half_even(F.avg("score"), 2).alias("avg_score"),
         round_half_even(F.avg("rating"), 2).alias("avg_rating"),
         round_half_even(F.avg("duration"), 2).alias("avg_duration"),

@@ -30,6 +30,29 @@ def by_path(tables: Tables, scope: Scope = EVERYONE) -> DataFrame:
         allocation_path(F.col("type"), F.col("is_ple")).alias("allocation_path"))
 
 
+def chosen(tables: Tables, scope: Scope) -> DataFrame:
+    """Ids of the active users of a scope, once each."""
+    return active(tables, scope).select("user_id").distinct()
+
+
+def in_hand(df: DataFrame, tables: Tables, scope: Scope, key: str = "user_id") -> DataFrame:
+    """Rows of the users a scope names; literal ids reach the scan, other scopes become a semi join below what follows.
+
+    Without any named user all rows stay.
+    """
+    if not scope.names_users:
+        return df
+    if scope.user_id is not None:
+        df = df.filter(F.col(key) == scope.user_id)
+    if scope.user_ids is not None and not isinstance(scope.user_ids, DataFrame):
+        df = df.filter(F.col(key).isin(list(scope.user_ids)))
+    if isinstance(scope.user_ids, DataFrame) and scope.centre_id is None and scope.batch_id is None and scope.trade_id is None:
+        return restrict(df, scope.user_ids, key)
+    if isinstance(scope.user_ids, DataFrame) or any(v is not None for v in (scope.centre_id, scope.batch_id, scope.trade_id)):
+        return restrict(df, chosen(tables, scope), key)
+    return df
+
+
 def restrict(df: DataFrame, users: DataFrame, key: str = "user_id") -> DataFrame:
     """Rows of the given users only."""
     return df.join(users.select(F.col("user_id").alias(key)).distinct(), key, "left_semi")

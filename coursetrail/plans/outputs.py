@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coursetrail.functions.constants import LESSON_CATEGORY
-from coursetrail.operators import combos, completion, incremental, rollup, users
+from coursetrail.operators import combos, completion, fingerprint, incremental, rollup, users
 from coursetrail.scope import EVERYONE, Scope
 from coursetrail.session import stored
 from coursetrail.sinks.user_table import UserTable
@@ -36,9 +36,14 @@ def subject_level(tables: Tables, scope: Scope = EVERYONE, **options: Any) -> Da
 
 
 def no_allocation_users(lesson_rows: DataFrame) -> DataFrame:
-    """The users of a full lesson-level table who have no allocation, once each."""
-    columns = [F.first(c).alias(c) for c in NO_ALLOCATION_COLUMNS if c != "user_id"]
-    return lesson_rows.filter(F.col("subject_id").isNull()).groupBy("user_id").agg(*columns)
+    """The users of a full lesson-level table who have no allocation, once each.
+
+    Of a user with several profiles, that with the smallest batch, then trade counts; a missing one is the smallest.
+    """
+    others = [c for c in NO_ALLOCATION_COLUMNS if c != "user_id"]
+    first = F.min(F.struct("batch_id", "trade_id", *[c for c in others if c not in ("batch_id", "trade_id")])).alias("first")
+    rows = lesson_rows.filter(F.col("subject_id").isNull()).groupBy("user_id").agg(first)
+    return rows.select("user_id", *[F.col(f"first.{c}").alias(c) for c in others])
 
 
 def user_json(tables: Tables, scope: Scope = EVERYONE, subject_rows: DataFrame | None = None,
@@ -55,6 +60,7 @@ class Targets:
     lesson: UserTable | None = None
     subject: UserTable | None = None
     subject_all_types: UserTable | None = None
+    json: UserTable | None = None  # its key is tlo_users_id
 
 
 def affected_users(tables: Tables, scope: Scope, since: Any = None) -> DataFrame:
@@ -67,15 +73,20 @@ def affected_users(tables: Tables, scope: Scope, since: Any = None) -> DataFrame
 
 def refresh(tables: Tables, targets: Targets, scope: Scope = EVERYONE, since: Any = None, *,
             category: Any = LESSON_CATEGORY, dry_run: bool = False, routing: str = "by_type",
-            attempts: str = "all") -> DataFrame:
+            attempts: str = "all", snapshot: str | None = None) -> DataFrame:
     """Recompute the outputs and return the run summary.
 
     Without scope and ``since`` the tables are replaced. With either, only the affected
     users are recomputed and only their rows are exchanged; all other rows stay.
+    ``snapshot`` is the place of fingerprints of the tables that allocation rests on: if any of them
+    changed since, everything is recomputed, and the fingerprints are taken anew.
     """
     if scope.subject_id is not None:
         raise ValueError("totals of one subject must not replace totals of all subjects")
     options = {"category": category, "routing": routing, "attempts": attempts}
+    stale = snapshot is not None and fingerprint.allocation_changed(tables, snapshot)
+    if stale:
+        scope, since = EVERYONE, None
     everyone = since is None and not scope.names_users
     ids = None
     if not everyone:
@@ -101,6 +112,10 @@ def refresh(tables: Tables, targets: Targets, scope: Scope = EVERYONE, since: An
     store(targets.subject, rollup.subject_level(rows))
     if targets.subject_all_types is not None:
         store(targets.subject_all_types, subject_level(tables, scope, all_types=True, **options))
+    if targets.json is not None:
+        store(targets.json, user_json(tables, scope, subject_rows=rollup.subject_level(rows)))
+    if stale:
+        fingerprint.save_snapshot(tables, snapshot)
     return rollup.run_summary(rows)
 
 
@@ -115,8 +130,10 @@ def merged_after(old: DataFrame, new: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def outputs_of(names: Sequence[str], lesson: UserTable, subject: UserTable,
-               subject_all_types: UserTable | None = None) -> Targets:
-    """Pick targets by name: ``lesson``, ``subject``."""
+               subject_all_types: UserTable | None = None, json: UserTable | None = None) -> Targets:
+    """Pick targets by name: ``lesson``, ``subject``, ``json``."""
     wanted = {n.strip().lower() for n in names}
+    if unknown := wanted - {"lesson", "subject", "json"}:
+        raise ValueError(f"no such output: {', '.join(sorted(unknown))}")
     return Targets(lesson if "lesson" in wanted else None, subject if "subject" in wanted else None,
-                   subject_all_types if "subject" in wanted else None)
+                   subject_all_types if "subject" in wanted else None, json if "json" in wanted else None)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from coursetrail.functions.constants import ALLOCATION_BASIS
 from coursetrail.operators.completion import LOGS
 from coursetrail.operators.fingerprint import WATCHED
-from coursetrail.registry.queries import CENTRE, SCOPE, SINCE
+from coursetrail.registry.queries import BATCH, CENTRE, SCOPE, SINCE
 from coursetrail.schema import (
     ALLOCATION_OUTPUT, LESSON_LEVEL_FULL_OUTPUT, LESSON_LEVEL_OUTPUT, PATH_ALLOCATION_OUTPUT, SOURCE_TYPES,
     SUBJECT_LEVEL_OUTPUT, SUBJECT_MAP_OUTPUT, USER_JSON_TARGET,
@@ -164,6 +164,14 @@ _LIBRARY["old_attempts"] = f"SELECT * FROM attempts WHERE completed_at <= TIMEST
 _LIBRARY["done_old"] = _LIBRARY["done_all"].replace("FROM attempts", "FROM old_attempts")
 _variant("old_", done="done_old")
 _LIBRARY["old_full_rows"] = _full("old_rows")
+for _name, _users, _own in (("batch", f"batch_id = {BATCH.batch_id}", f"batch_id = {BATCH.batch_id}"),
+                            ("trade", f"trade_id = '{SCOPE.trade_id}'", f"own_trade = '{SCOPE.trade_id}'")):
+    _LIBRARY[f"{_name}_lessons"] = f"""
+SELECT * FROM path_lessons WHERE user_id IN (SELECT user_id FROM profiled_users WHERE {_users})
+  AND (allocation_path = 'staff' OR {_own})"""
+    _LIBRARY[f"{_name}_allocated"] = _LIBRARY["allocated"].replace("path_lessons", f"{_name}_lessons")
+    _LIBRARY[f"{_name}_kept"] = f"SELECT * FROM {_name}_allocated SEMI JOIN kept_lessons USING (lesson_id)"
+    _variant(f"{_name}_", alloc=f"{_name}_kept")
 
 
 def _subject_level(rows: str) -> str:
@@ -337,8 +345,12 @@ SELECT user_id, lesson_id, score, rating, CAST(NULL AS string) AS data_from, dur
     "zero_completion_users": "SELECT DISTINCT user_id FROM main_totals WHERE total_completed = 0",
     "no_allocation_stubs": f"SELECT {_FULL} FROM full_rows WHERE subject_id IS NULL",
     "no_allocation_users": """
-SELECT id AS user_id, name AS user_name, type AS user_type, is_master_trainer, centre_id, project_id, is_ple FROM live_users
-WHERE id NOT IN (SELECT user_id FROM kept_allocated)""",
+SELECT user_id, user_name, user_type, is_master_trainer, centre_id, project_id, is_ple, batch_id, trade_id FROM profiled_users
+WHERE user_id NOT IN (SELECT user_id FROM kept_allocated)
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY batch_id NULLS FIRST, trade_id NULLS FIRST) = 1""",
+    "lesson_level_from_store": "SELECT * FROM last_rows",
+    "lesson_level_batch_scope": "SELECT * FROM batch_rows",
+    "subject_rollup_trade_scope": _subject_level("trade_rows"),
     "user_totals": """
 SELECT DISTINCT user_id, total_allocated, total_lessons_allocated, total_assessments_allocated, total_completed,
   total_lessons_completed, total_assessments_completed FROM main_totals""",
@@ -381,6 +393,7 @@ SELECT CASE source WHEN 'staff' THEN 'facilitator_learning_activities' ELSE 'lea
   max(completed_at) AS max_completed_at FROM attempts GROUP BY source""",
     "completion_rebuild": "SELECT * FROM stored_completion",
     "completion_upsert": "SELECT * FROM stored_completion",
+    "completion_upsert_late": "SELECT * FROM stored_completion",
     "incremental_refresh": f"SELECT {_FULL} FROM full_rows",
     "scoped_refresh": f"""
 SELECT {_FULL} FROM full_rows WHERE centre_id = {CENTRE.centre_id}

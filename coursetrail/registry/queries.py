@@ -23,6 +23,7 @@ CATEGORY = 1
 SINCE = "2001-10-01 00:00:00"
 SCOPE = Scope(trade_id="BUILDING")
 CENTRE = Scope(centre_id=3)
+BATCH = Scope(batch_id=7)
 
 _registered: dict[str, Callable[[Tables], DataFrame]] = {}
 
@@ -106,7 +107,7 @@ def source_profile_query(t):
 
 @_query
 def allocation_for_users(t):
-    return users.restrict(allocation.combined(t, category=CATEGORY), incremental.changed_users(t, SINCE))
+    return allocation.combined(t, Scope(user_ids=incremental.changed_users(t, SINCE)), category=CATEGORY)
 
 
 @_query
@@ -320,8 +321,23 @@ def no_allocation_stubs(t):
 
 @_query
 def no_allocation_users(t):
-    rows = outputs.no_allocation_users(outputs.lesson_level_full(t, category=CATEGORY))
-    return rows.select("user_id", "user_name", "user_type", "is_master_trainer", "centre_id", "project_id", "is_ple")
+    return outputs.no_allocation_users(outputs.lesson_level_full(t, category=CATEGORY))
+
+
+@_query
+def lesson_level_from_store(t):
+    stored = t.with_tables(**{table: incremental.rebuild(t, log) for log, table in completion.LOGS.items()})
+    return outputs.lesson_level(stored, category=CATEGORY)
+
+
+@_query
+def lesson_level_batch_scope(t):
+    return outputs.lesson_level(t, BATCH, category=CATEGORY)
+
+
+@_query
+def subject_rollup_trade_scope(t):
+    return outputs.subject_level(t, SCOPE, category=CATEGORY)
 
 
 @_query
@@ -449,6 +465,13 @@ def completion_upsert(t):
     return both(t, lambda log: incremental.refreshed(t, log, incremental.rebuild(before, log), SINCE))
 
 
+@_query
+def completion_upsert_late(t):
+    """Some attempts reach the log late: those of even lessons were not there when the table was built."""
+    before = t.with_tables(**{table: t[table].filter(F.col("lesson_id") % 2 == 1) for table in completion.LOGS.values()})
+    return both(t, lambda log: incremental.upsert(incremental.rebuild(before, log), incremental.recent(t, log, None)))
+
+
 @_query
 def incremental_refresh(t):
     old = outputs.lesson_level_full(as_of(t, SINCE), category=CATEGORY)

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings only; sizing (executors, memory, shuffle partitions) stays
-# with the cluster. None of them changes a result, they change how much is shuffled.
+# with the cluster. The time zone is part of the results: moments become dates in it.
+# The others only change how much is shuffled. `configure` sets them on the caller's session.
 _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -45,6 +48,25 @@ def durable_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def folder(spark: SparkSession, path: str):
+    """File system and path object of a folder, wherever it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+@contextmanager
+def kept(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """The frame, computed once and stored; its files go when the block has ended well.
+
+    After a failure they stay for the next look; a run that is repeated writes its own.
+    """
+    path = durable_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    yield df.sparkSession.read.parquet(path)
+    files, target = folder(df.sparkSession, path)
+    files.delete(target, True)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write a frame to the durable folder and read it back: computed once, lineage cut."""
     path = durable_dir(df.sparkSession, purpose)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,12 @@ from coursetrail.sources.sanitize import sanitize
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 128 * 1024 * 1024
 
+# Tables that lookups are made of, measured together.
+LOOKUPS = ("batch_subject", "centre_subject", "lesson_types", "lessons", "ple_career_paths", "subject_ple_career_path",
+           "subject_trade", "subjects", "trades")
+# Tables that grow with use and are never read by one task.
+LOGS = ("learning_activities", "facilitator_learning_activities", "login_logs")
+
 # The source calls the position of a subject in a centre by a reserved word.
 _RENAMES = {"centre_subject": {"order": "subject_order"}}
 
@@ -25,12 +32,13 @@ class Tables:
     """Maps table names to lazy, cleaned DataFrames: ``tables.users``."""
 
     def __init__(self, spark: SparkSession, loader: Callable[[str], DataFrame],
-                 replaced: Mapping[str, DataFrame] | None = None, clean_times: bool = False):
+                 replaced: Mapping[str, DataFrame] | None = None, clean_times: bool = False,
+                 measured: Mapping[str, tuple[int, int]] | None = None):
         self.spark = spark
         self._loader = loader
         self._loaded: dict[str, DataFrame] = dict(replaced or {})
         self._clean_times = clean_times
-        self._measured: dict[str, tuple[int, int]] = {}
+        self._measured: dict[str, tuple[int, int]] = dict(measured or {})
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in SOURCE_TYPES:
@@ -46,22 +54,31 @@ class Tables:
         return self._loaded[name]
 
     def with_tables(self, **frames: DataFrame) -> Tables:
-        """The same tables with some of them exchanged."""
-        return Tables(self.spark, self._loader, {**self._loaded, **frames}, self._clean_times)
-
-    def _measure(self, name: str) -> tuple[int, int]:
-        """Rows of a table and bytes of its widest row, looking at no more rows than the bound allows."""
-        if name not in self._measured:
-            df = self[name]
-            width = [F.coalesce(F.octet_length(c), F.lit(0)) if kind == "string" else F.lit(16) for c, kind in df.dtypes]
-            row = df.select(sum(width[1:], width[0]).alias("width")).limit(BROADCAST_ROWS + 1).agg(
-                F.count(F.lit(1)), F.coalesce(F.max("width"), F.lit(0))).first()
-            self._measured[name] = (row[0], row[1])
-        return self._measured[name]
+        """The same tables with some of them exchanged; measures of the others stay known."""
+        known = {name: size for name, size in self._measured.items() if name not in frames}
+        return Tables(self.spark, self._loader, {**self._loaded, **frames}, self._clean_times, known)
+
+    def _measure(self, *names: str) -> list[tuple[int, int]]:
+        """Rows of tables and bytes of their widest rows.
+
+        The first call measures all tables that lookups are made of, in one job of partial
+        aggregates: every task hands on one row, however large the table is.
+        """
+        if missing := [n for n in names if n not in self._measured]:
+            parts = []
+            for name in dict.fromkeys([*missing, *(n for n in LOOKUPS if n not in self._measured)]):
+                df = self[name]
+                width = [F.coalesce(F.octet_length(c), F.lit(0)) if kind == "string" else F.lit(16) for c, kind in df.dtypes]
+                self._measured[name] = (0, 0)
+                parts.append(df.select(F.lit(name).alias("name"), sum(width[1:], width[0]).alias("width")))
+            sizes = reduce(DataFrame.union, parts).groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.max("width").alias("width"))
+            for row in sizes.collect():
+                self._measured[row["name"]] = (row["n"], row["width"])
+        return [self._measured[n] for n in names]
 
     def is_small(self, name: str, *columns_of: str) -> bool:
         """Whether two rows per row of ``name``, with the columns of all these tables, stay in bounds."""
-        measures = [self._measure(table) for table in (name, *columns_of)]
+        measures = self._measure(name, *columns_of)
         width = sum(bytes_per_row for _, bytes_per_row in measures) + 256
         return all(rows <= BROADCAST_ROWS for rows, _ in measures) and 2 * measures[0][0] * width <= BROADCAST_BYTES
 
@@ -78,25 +95,39 @@ class Tables:
         return cls(spark, lambda name: frames[name])
 
     @classmethod
-    def from_parquet(cls, spark: SparkSession, root: str) -> Tables:
-        """One Parquet folder per table below ``root``."""
-        return cls(spark, lambda name: spark.read.parquet(f"{root.rstrip('/')}/{name}"))
+    def from_parquet(cls, spark: SparkSession, root: str, clean_times: bool = False) -> Tables:
+        """One Parquet folder per table below ``root``; ``clean_times`` for dumps that may hold dates of year one."""
+        return cls(spark, lambda name: spark.read.parquet(f"{root.rstrip('/')}/{name}"), clean_times=clean_times)
 
     @classmethod
     def from_jdbc(cls, spark: SparkSession, url: str, properties: Mapping[str, str],
                   partitioning: Mapping[str, Mapping[str, str]] | None = None,
-                  prefixes: Mapping[str, str] | None = None) -> Tables:
+                  prefixes: Mapping[str, str] | None = None, queries: Mapping[str, str] | None = None) -> Tables:
         """Tables of a database.
 
-        ``partitioning[table]`` holds ``partitionColumn``, ``lowerBound``, ``upperBound``
-        and ``numPartitions`` for the tables that must be read by many tasks at once;
-        ``prefixes[table]`` names the schema a table lives in. Column choice and filters
-        are pushed to the database by Spark.
+        ``partitioning[table]`` holds ``partitionColumn`` and ``numPartitions`` for the tables
+        that must be read by many tasks at once; bounds that it does not give are found by one
+        query for the smallest and largest value. The logs are refused without it.
+        ``prefixes[table]`` names the schema a table lives in, ``queries[table]`` is a query
+        to read instead of the table. Column choice and filters are pushed to the database by Spark.
         """
+        def load(source: str, **options: str) -> DataFrame:
+            return spark.read.format("jdbc").options(**properties).option("url", url).option("dbtable", source).options(**options).load()
+
         def read(name: str) -> DataFrame:
-            reader = spark.read.format("jdbc").options(**properties)
-            reader = reader.option("url", url).option("dbtable", (prefixes or {}).get(name, "") + name)
-            return reader.options(**(partitioning or {}).get(name, {})).load()
+            query = (queries or {}).get(name)
+            source = f"({query}) AS {name}_rows" if query else (prefixes or {}).get(name, "") + name
+            options = dict((partitioning or {}).get(name, {}))
+            if name in LOGS and not options:
+                raise ValueError(f"{name} may be of any size: give it a partitioning")
+            if options and "lowerBound" not in options:
+                column = options["partitionColumn"]
+                least, most = load(f"(SELECT min({column}) AS least, max({column}) AS most FROM {source} AS bounds_of) AS bounds"
+                                   if not query else f"(SELECT min({column}) AS least, max({column}) AS most FROM {source}) AS bounds").first()
+                if least is None:
+                    return load(source)
+                options |= {"lowerBound": str(least), "upperBound": str(most)}
+            return load(source, **options)
 
         return cls(spark, read, clean_times=True)
 

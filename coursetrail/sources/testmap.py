@@ -119,7 +119,7 @@ FROM activities_all WHERE priority <> '1-URGENT' OR line = 6""",
     "facilitator_learning_activities": """
 SELECT user_id, lesson_id, CASE WHEN line = 5 THEN score + 10 ELSE score - 10 END AS score, rating, duration, completed, completed_at
 FROM activities_all WHERE priority = '1-URGENT' OR line = 5""",
-    "login_logs": "SELECT user_id, ts AS created_at FROM events WHERE event_type IN ('signup', 'view')",
+    "login_logs": "SELECT user_id, ts AS created_at FROM events",
     "main_users": """
 SELECT id, name, CASE WHEN id % 2 = 0 THEN 'Female' ELSE 'Male' END AS gender,
   TIMESTAMP '2020-01-01 08:30:00' AS created_at, n_name AS centre_name, r_name AS organisation_name, r_name AS centre_state,

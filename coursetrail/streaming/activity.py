@@ -1,8 +1,9 @@
 """Activity logs as streams.
 
 Attempts are merged by key and time, so their order of arrival and repeated delivery
-change nothing. Late attempts need no watermark; one may be set to bound the state of
-``latest_attempts``, at the price of losing what comes later than that.
+change nothing, and no watermark is needed. The state of ``latest_attempts`` grows with users
+and lessons, as its keys hold no time by which Spark could drop them; ``keep_completion_table``
+keeps that state in a table instead and is the one for long runs.
 """
 
 from __future__ import annotations

@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from school import attempt, day, frame, school, tables, user
 
@@ -45,9 +47,11 @@ def test_user_table(spark, tmp_path):
     make = lambda rows: spark.createDataFrame(rows, "user_id string, v int")
     table = UserTable(spark, str(tmp_path / "t"), buckets=4)
     assert not table.exists()
-    table.replace_users(make([("a", 1), ("b", 2), ("c", 3)]), make([("a", 0)]))
+    table.replace_users(make([("a", 1), ("b", 2), ("c", 3), ("d", 4)]), make([("a", 0), ("b", 0), ("c", 0)]))
     again = UserTable(spark, str(tmp_path / "t"))
     assert again.buckets == 4
+    with pytest.raises(ValueError):
+        UserTable(spark, str(tmp_path / "t"), buckets=7)
     users = make([("a", 0), ("c", 0), ("new", 0)])
     again.replace_users(make([("a", 10), ("a", 11), ("new", 12), ("stranger", 13)]), users)
     assert sorted(tuple(r) for r in again.read().collect()) == [("a", 10), ("a", 11), ("b", 2), ("new", 12)]
@@ -66,7 +70,7 @@ def test_refresh(spark, tmp_path):
     old = tables(spark, learning_activities=before["learning_activities"])
     new = tables(spark, learning_activities=later)
     at = lambda name: UserTable(spark, str(tmp_path / name), buckets=8)
-    targets = outputs.Targets(at("lesson"), at("subject"), at("all"))
+    targets = outputs.Targets(at("lesson"), at("subject"), at("all"), UserTable(spark, str(tmp_path / "json"), 8, "tlo_users_id"))
     first = outputs.refresh(old, targets).first()
     assert first.users == targets.lesson.read().select("user_id").distinct().count()
     assert same(targets.lesson.read(), outputs.lesson_level_full(old))
@@ -75,6 +79,7 @@ def test_refresh(spark, tmp_path):
     assert summary.users == 2
     assert same(targets.lesson.read(), outputs.lesson_level_full(new))
     assert same(targets.subject.read(), outputs.subject_level(new))
+    assert same(targets.json.read(), outputs.user_json(new))
     assert same(targets.subject_all_types.read(), outputs.subject_level(new, all_types=True))
 
     # A scope replaces only its own users, and a dry run replaces nothing.
@@ -91,6 +96,8 @@ def test_choice_of_outputs(spark, tmp_path):
     lesson, subject = UserTable(spark, str(tmp_path / "l")), UserTable(spark, str(tmp_path / "s"))
     outputs.refresh(tables(spark), outputs.outputs_of(["subject"], lesson, subject))
     assert not lesson.exists() and subject.exists()
+    with pytest.raises(ValueError):
+        outputs.outputs_of(["lessn"], lesson, subject)
 
 
 def test_csv(spark, tmp_path):
@@ -140,3 +147,58 @@ def test_stored_completion(spark, tmp_path):
     assert same(store.read(), incremental.rebuild(new, "learner"))
     incremental.update_store(old, "learner", store, full=True)
     assert same(store.read(), incremental.rebuild(old, "learner"))
+
+
+def test_stored_completion_takes_late_equal_and_timeless_attempts(spark, tmp_path):
+    rows = [attempt("learner", "l1", 1.0, at=5)]
+    late = [attempt("idle", "l5", 2.0, at=4), attempt("idle", "l1", 3.0, at=5), attempt("batched", "l1", 4.0)[:6] + (None,)]
+    store = UserTable(spark, str(tmp_path / "done"), buckets=4)
+    incremental.update_store(tables(spark, learning_activities=rows), "learner", store)
+    new = tables(spark, learning_activities=rows + late)
+    incremental.update_store(new, "learner", store)
+    assert same(store.read(), incremental.rebuild(new, "learner"))
+    # Later than the overlap: only a comparison with the whole log takes it in.
+    very_late = tables(spark, learning_activities=rows + late + [attempt("idle", "l2", 5.0, at=1)])
+    incremental.update_store(very_late, "learner", store, overlap=dt.timedelta(days=1))
+    assert not same(store.read(), incremental.rebuild(very_late, "learner"))
+    incremental.update_store(very_late, "learner", store, overlap=None)
+    assert same(store.read(), incremental.rebuild(very_late, "learner"))
+
+
+def test_upsert_of_a_source_that_changes_between_jobs_loses_nothing(spark, tmp_path):
+    make = lambda rows: spark.createDataFrame(rows, "user_id string, v int")
+    table = UserTable(spark, str(tmp_path / "t"), buckets=64)
+    table.overwrite(make([(f"u{i}", i) for i in range(40)]))
+    source = str(tmp_path / "source")
+    make([("u1", 100)]).write.parquet(source)
+    growing = spark.read.parquet(source)
+
+    def combine(rows):
+        # While the table is being changed, the source grows.
+        make([(f"u{i}", 200 + i) for i in range(5, 10)]).write.mode("append").parquet(source)
+        return rows
+
+    table.upsert(growing, combine)
+    found = sorted(tuple(r) for r in table.read().collect())
+    assert found == sorted([(f"u{i}", i) for i in range(40)] + [("u1", 100)])
+
+
+def test_refresh_after_a_mapping_change_recomputes_everyone(spark, tmp_path):
+    t, path = tables(spark), str(tmp_path / "snapshot")
+    targets = outputs.Targets(UserTable(spark, str(tmp_path / "lesson"), buckets=4))
+    outputs.refresh(t, targets, snapshot=path)
+    moved = tables(spark, users=[user("learner", centre="c2")] + school()["users"][1:])
+    outputs.refresh(moved, targets, since="2024-02-01")
+    assert not same(targets.lesson.read(), outputs.lesson_level_full(moved))
+    outputs.refresh(moved, targets, since="2024-02-01", snapshot=path)
+    assert same(targets.lesson.read(), outputs.lesson_level_full(moved))
+    assert not fingerprint.allocation_changed(moved, path)
+
+
+def test_intermediate_tables_go_after_success(spark, tmp_path):
+    from coursetrail.session import kept
+    with kept(spark.range(3), "gone-later") as rows:
+        files = rows.inputFiles()
+        assert rows.count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(files[0].rpartition("/")[0])

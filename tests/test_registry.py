@@ -6,6 +6,8 @@ import pytest
 from compare import compare, connect
 
 import __spark_entry__ as entry_points
+from coursetrail.registry.oracle import all_sql
+from coursetrail.registry.queries import all_queries
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not here")
@@ -17,12 +19,12 @@ def connection():
 
 
 def test_every_query_has_a_check():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(all_queries()) == set(all_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query(spark, connection, name):
-    problem, _ = compare(spark, connection, FOLDER, entry_points.queries()[name], entry_points.oracle_sql()[name])
+    problem, _ = compare(spark, connection, FOLDER, all_queries()[name], all_sql()[name])
     assert not problem, problem
 
 
