@@ -47,7 +47,7 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + shift
 
 
-def pieces_of(batches: Iterator[pa.RecordBatch], column: str, size: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+def pieces_of(batches: Iterator[pa.RecordBatch], column: str, size: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """The rows of batches in pieces of about `size` bytes of a text column, one row at least."""
     for batch in batches:
         ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64) + 1)
