@@ -4,8 +4,8 @@ Markup is stripped into lines: a block-level tag ends a line, inline tags leave
 elements that tags, roles or class names mark as menu, header, footer, side bar, notice, advert, form or reader
 comments become lines of length zero, as do lines that are mostly links. The lengths of every `WINDOW` lines in a
 row are summed. Text surges where sums turn positive and dives where they are zero again; what lies between them
-is kept if its largest sum reaches a threshold. Where a page marks its article (article, main), lines outside of it have
-length zero too, and any text in it is kept, however short.
+is kept if its largest sum reaches a threshold. Where a page marks its article (article, main, or else an element by its
+role, class or id), lines outside of it have length zero too, and any text in it is kept, however short.
 
 Character references are decoded, white space within a line becomes one space, lines are joined by one space in page
 order.
@@ -36,12 +36,13 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = "script style noscript template svg math canvas iframe object select textarea button audio video head".split()
 FURNITURE = frozenset("nav footer aside form dialog menu fieldset".split())
 ROLES = frozenset("navigation banner complementary contentinfo search dialog alert alertdialog menu menubar form toolbar".split())
-MARKS = frozenset("""ad ads adbox adsense advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies
-consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup share sharing social sidebar
+MARKS = frozenset("""ad ads adv adbox adsbygoogle adsense advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies
+consent gdpr notice notices alert popup modal overlay toast newsletter subscribe subscription signup share sharing social sidebar rail aside
 widget widgets related recommended recommendations breadcrumb breadcrumbs menu nav navbar navigation masthead footer comment
-comments commentlist disqus reply replies respond discussion pagination pager toolbar login search copyright disclaimer
+comments commentlist disqus reply replies respond responses discussion pagination pager toolbar login search copyright disclaimer
 skip""".split())
 COMMENTS = frozenset("comment comments reply replies".split())
+CONTENT = frozenset("article content entry main post story".split())
 NEVER = frozenset("html body main".split())
 #: Elements that a following sibling ends.
 ENDED_BY = {"p": BLOCKS - {"br"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
@@ -79,16 +80,31 @@ def _is_furniture(name: str, rest: str, in_article: bool) -> bool:
     return False
 
 
-def lines(html: str) -> list[tuple[str, int, bool]]:
-    """(text, characters of it in links, within a marked article) of each line; furniture is an empty line."""
-    found: list[tuple[str, int, bool]] = []
+def _is_content(rest: str) -> bool:
+    """Whether role, class or id call an element the page's content."""
+    for key, a, b, c in ATTRIBUTE.findall(rest):
+        value = a or b or c
+        if key.lower() == "role" and value.lower() in ("main", "article"):
+            return True
+        if key.lower() in ("class", "id") and {w.lower() for w in PARTS.findall(value)} & CONTENT:
+            return True
+    return False
+
+
+def lines(html: str) -> list[tuple[str, int, int]]:
+    """(text, characters of it in links, place) of each line; furniture is an empty line.
+
+    place: 2 within article or main, 1 within an element that is called content, else 0.
+    """
+    found: list[tuple[str, int, int]] = []
     parts: list[str] = []
     links = article = link = 0
     skip, depth, skip_from = "", 0, 0
+    content, inner = "", 0  # the outermost element that is called content, and how many of its name are open in it
 
     def end() -> None:
         nonlocal links
-        found.append((" ".join("".join(parts).split()), links, article > 0))
+        found.append((" ".join("".join(parts).split()), links, 2 if article else 1 if content else 0))
         parts.clear()
         links = 0
 
@@ -128,25 +144,33 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
                 article = max(0, article - 1)
             elif name == "a":
                 link = 0
+            if name == content:
+                inner -= 1
+                content = content if inner else ""
             continue
         if name not in VOID and not rest.endswith("/") and _is_furniture(name, rest, article > 0):
             skip, depth, skip_from = name, 1, article
             if name not in BLOCKS:
                 continue
             end()
-        elif name in ("article", "main"):
+            continue
+        if name in ("article", "main"):
             article += 1
         elif name == "a":
             link = 1
+        if name == content:
+            inner += 1
+        elif not content and rest and name in ("div", "section", "td") and _is_content(rest):
+            content, inner = name, 1
     end()
     return found
 
 
 def main_text(html: str | None) -> str:
     every = lines(html or "")
-    marked = any(text and inside for text, _, inside in every)
+    marked = max((place for text, _, place in every if text), default=0)
     if marked:
-        lengths = [len(text) if inside else 0 for text, _, inside in every]
+        lengths = [len(text) if place >= marked else 0 for text, _, place in every]
     else:
         lengths = [len(text) if 2 * linked <= len(text) else 0 for text, linked, _ in every]
     sums = [sum(lengths[i:i + WINDOW]) for i in range(len(lengths))]

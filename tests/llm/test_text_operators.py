@@ -288,6 +288,7 @@ def test_main_text_without_an_article():
     body += "</p><p>Short.</p><p>" + "other " * 30 + "</p></div><div class=footer>(c)</div>" + "<ul>" + "<li><a href=1>aaaa bbbb</a></li>" * 9 + "</ul>"
     assert main_text.main_text(body) == " ".join(["Head"] + ["word"] * 40 + ["Short."] + ["other"] * 30)
     assert main_text.main_text("<p>tiny</p>") == ""
+    assert main_text.main_text("<div>x<div id='post-7'><div>a<p>b</div>c<div class='comment-list'>d</div></div>e</div>") == "a b c"
 
 
 def test_main_text_of_rows(spark):
