@@ -11,7 +11,7 @@ word of a batch is scored once. The language with the shortest code is predicted
 language first in the alphabet.
 
 Learning reads a bounded sample: per language the `rows_per_language` labelled rows of smallest hash, and of
-those at most `sample_chars` characters each. Scoring reads whole texts.
+those at most `sample_chars` characters each. The number of languages is taken to be small: there is a tree for each. Scoring reads whole texts.
 
 Defined results: a null text or one without any letter is `und` with score 0; so is every text where no
 label was learned. Rows with null doc_id or lang are predicted like others. Repeated rows get equal results. An empty
@@ -146,10 +146,17 @@ def held_out(doc_id: Column) -> Column:
 def sample(docs: DataFrame, rows_per_language: int = 300, sample_chars: int = 20_000) -> dict[str, list[str]]:
     """Texts to learn from; at most rows_per_language x sample_chars characters of each language."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    # The hash spreads over all of the table; each task keeps no more than the rows asked for.
-    order = W.partitionBy("lang").orderBy("hash", "doc_id")
-    picked = (labelled.select("lang", "doc_id", F.xxhash64("doc_id").alias("hash"), F.left("text", F.lit(sample_chars)).alias("text"))
-              .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= rows_per_language))
+    # Hashes spread evenly: about twice the rows asked for pass the share that a language's count gives, so what
+    # is ranked stays small however large the language is.
+    counts = labelled.groupBy("lang").count().collect()
+    if not counts:
+        return {}
+    shares = F.create_map(*[F.lit(x) for row in counts for x in (row["lang"], 2.0 * rows_per_language / row["count"])])
+    fraction = F.col("hash").bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
+    passed = (labelled.select("lang", "doc_id", F.xxhash64("doc_id").alias("hash"), F.left("text", F.lit(sample_chars)).alias("text"))
+              .where(fraction < shares[F.col("lang")]))
+    order = W.partitionBy("lang").orderBy(fraction, "doc_id")
+    picked = passed.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= rows_per_language)
     found: dict[str, list[str]] = {}
     for row in picked.orderBy("lang", "rank").select("lang", "text").collect():
         found.setdefault(row["lang"], []).append(row["text"])
