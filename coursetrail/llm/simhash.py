@@ -291,6 +291,11 @@ def without_near_duplicates(docs: DataFrame, shingle: int = 4, budget: int = 4)
     every = stored(fingerprints(slim, shingle), "fingerprints")
     first = every.groupBy("fp").agg(F.min(order).alias("first"))
     chosen = classes(every, budget).join(first, "fp").groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.text_hash")
+    return rows_chosen(docs, chosen)
+
+
+def rows_chosen(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows of docs with a doc_id and text of chosen (doc_id, text_hash), each once."""
     keyed = docs.withColumn(name := _free_name(docs), F.xxhash64("text"))
     same = keyed["doc_id"].eqNullSafe(chosen["doc_id"]) & (keyed[name] == chosen["text_hash"])
     return keyed.join(chosen, same, "left_semi").dropDuplicates(["doc_id", name]).drop(name)

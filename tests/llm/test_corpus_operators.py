@@ -267,6 +267,44 @@ def test_trie_join_loses_no_link(spark, hot):
     assert sorted(map(sorted, mine.values())) == sorted(map(sorted, groups.values()))
 
 
+def test_stage_finds_every_pair_of_similarity_four_fifths(spark):
+    def shingles(text):
+        w = (text or "").lower().split()
+        return {" ".join(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    rng = np.random.default_rng(7)
+    texts = [None, "", "a b c", "A b\nC", "a b c d"]
+    for k in range(40):  # copies with words changed here and there, from below 0.8 to 0.97
+        base = words(int(rng.integers(20, 900)), 100 + k, 5000)
+        texts.append(" ".join(base))
+        for share in rng.uniform(0.003, 0.03, 3):
+            copy = list(base)
+            for at in rng.integers(0, len(base), max(1, int(share * len(base)))):
+                copy[at] = f"changed{at}"
+            texts.append(" ".join(copy))
+    line = words(40, 1)
+    texts += [" ".join(words(30, s) + line) for s in range(300, 340)]  # one line in many different texts
+    sets = [shingles(t) for t in texts]
+    root, planted = list(range(len(texts))), []
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for i, a in enumerate(sets):
+        for j in range(i):
+            union = len(a | sets[j])
+            if 5 * len(a & sets[j]) >= 4 * union:
+                planted.append(len(a & sets[j]) / max(union, 1))
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    assert sum(0.8 <= x < 0.85 for x in planted) >= 5 and sum(0.85 <= x < 0.95 for x in planted) >= 15
+    docs = frame(spark, list(enumerate(texts)), "doc_id bigint, text string").selectExpr("*", "1 AS key", "2 AS root")
+    kept = corpus_pipeline.near_duplicates(spark, docs, FOLDER)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({find(i) for i in range(len(texts))})
+    assert corpus_pipeline.near_duplicates(spark, docs.limit(0), FOLDER).isEmpty()
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 100), (7, 7), (None, 3)] + [(300, i) for i in range(301, 350)]
     found = {r.node: r.root for r in connected(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
