@@ -13,14 +13,16 @@ def parts(df: DataFrame) -> int:
 def boundaries(keys: DataFrame, key: str, count: int) -> list[int]:
     """At most count - 1 keys of the table that cut it into ranges of about equal size.
 
-    Reads one column. Each boundary is the first key of its range; the smallest key is none.
+    Reads one column. Each boundary is the first key of its range; the smallest key is none. Quantiles are doubles and need not
+    be keys, so the first key of each range is looked up.
     """
     if count < 2:
         return []
     shares = [i / count for i in range(count)]
     found = keys.approxQuantile(key, shares, 1 / (8 * count))
-    smallest = keys.agg(F.min(key)).first()[0]
-    return sorted({int(x) for x in found} - {smallest}) if found else []
+    cuts = sorted({max(-(1 << 63), min(int(x), (1 << 63) - 1)) for x in found})
+    firsts = keys.groupBy(range_of(F.col(key), cuts).alias("range")).agg(F.min(key).alias("first")).collect()
+    return sorted(r["first"] for r in firsts if r["first"] is not None)[1:]
 
 
 def range_of(key: Column, bounds: list[int]) -> Column:

@@ -78,6 +78,12 @@ def test_digests_of_one_and_of_no_row(spark):
     assert digest.digests(spark.createDataFrame([], "doc_id bigint, text string")).isEmpty()
 
 
+def test_digests_lose_no_row_with_ids_that_doubles_cannot_hold(spark):
+    ids = [sign * (1 << 62) + 1234567891 * i + 1 for sign in (-1, 1) for i in range(150)] + [(1 << 63) - 1, None]
+    docs = frame(spark, [(i, f"text {i}") for i in ids], "doc_id bigint, text string")
+    assert Counter(r.doc_id for r in digest.digests(docs).collect()) == Counter(ids)
+
+
 # ---------------------------------------------------------------- op 4
 
 
