@@ -11,7 +11,7 @@ Character references are decoded, white space within a line becomes one space, l
 order.
 
 Defined results: a null or empty page, and one without main text, gives the empty text. Unclosed tags end with the element
-around them or the page. Repeated rows get equal results. An empty table gives an empty result. A page is one row's
+around them or the page; an unclosed head at the first block-level tag, as do unclosed buttons, frames and other embedded elements. Repeated rows get equal results. An empty table gives an empty result. A page is one row's
 work; long ones take time in proportion to their length.
 """
 
@@ -33,7 +33,10 @@ BLOCKS = frozenset("""address article aside blockquote body br caption center dd
 figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup option p pre section
 summary table tbody td tfoot th thead title tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script style noscript template svg math canvas iframe object select textarea button audio video head".split()
+#: Elements whose content is no markup; unclosed ones take the rest of the page.
+RAW = "script style textarea title".split()
+#: Elements that hold no page text; unclosed ones end at the next block-level tag.
+EMBEDDED = frozenset("noscript template svg canvas iframe object select button audio video".split())
 FURNITURE = frozenset("nav footer aside form dialog menu fieldset".split())
 ROLES = frozenset("navigation banner complementary contentinfo search dialog alert alertdialog menu menubar form toolbar".split())
 MARKS = frozenset("""ad ads adv adbox adsbygoogle adsense advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies
@@ -45,7 +48,8 @@ COMMENTS = frozenset("comment comments reply replies".split())
 CONTENT = frozenset("article content entry main post story".split())
 NEVER = frozenset("html body main".split())
 #: Elements that a following sibling ends.
-ENDED_BY = {"p": BLOCKS - {"br"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
+ENDED_BY = {"p": BLOCKS - {"br"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"},
+            "head": BLOCKS - {"head", "html", "title"}}
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -54,6 +58,8 @@ TOKEN = re.compile(
     r"|<(?P<close2>/?)(?P<name2>[a-z][\w:-]*+)(?P<rest2>[^>]*+)(?:>|\Z)"
     r"|<[!?/][^>]*+(?:>|\Z)"
     r"|(?P<text>[^<]++|<)", re.IGNORECASE | re.DOTALL)
+SOME_EMBEDDED = re.compile(rf"<(?:{'|'.join(sorted(EMBEDDED))})\b", re.IGNORECASE)
+SINGLE = frozenset("button iframe select".split())  # cannot stand within themselves
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
@@ -61,7 +67,7 @@ PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 def _is_furniture(name: str, rest: str, in_article: bool) -> bool:
     if name in NEVER:
         return False
-    if name in FURNITURE or name == "header" and not in_article:
+    if name in FURNITURE or name in EMBEDDED or name == "head" or name == "header" and not in_article:
         return True
     if not rest.strip():
         return False
@@ -91,6 +97,25 @@ def _is_content(rest: str) -> bool:
     return False
 
 
+def _left_open(html: str) -> set[int]:
+    """Where the embedded elements begin that no end tag closes."""
+    opened: dict[str, list[int]] = {name: [] for name in EMBEDDED}
+    left: set[int] = set()
+    for token in TOKEN.finditer(html) if SOME_EMBEDDED.search(html) else ():
+        name = (token["name"] or token["name2"] or "").lower()
+        if name not in EMBEDDED or (token["rest"] or token["rest2"] or "").endswith("/"):
+            continue
+        if token["close"] or token["close2"]:
+            if opened[name]:
+                opened[name].pop()
+            continue
+        if name in SINGLE:
+            left.update(opened[name])
+            opened[name].clear()
+        opened[name].append(token.start())
+    return left.union(*opened.values())
+
+
 def lines(html: str) -> list[tuple[str, int, int]]:
     """(text, characters of it in links, place) of each line; furniture is an empty line.
 
@@ -100,6 +125,8 @@ def lines(html: str) -> list[tuple[str, int, int]]:
     parts: list[str] = []
     links = article = link = 0
     skip, depth, skip_from = "", 0, 0
+    left_open = _left_open(html)
+    loose = False  # whether what is skipped has no end tag of its own
     content, inner = "", 0  # the outermost element that is called content, and how many of its name are open in it
 
     def end() -> None:
@@ -122,7 +149,9 @@ def lines(html: str) -> list[tuple[str, int, int]]:
             continue
         closing, rest = bool(token["close"] or token["close2"]), token["rest"] or token["rest2"] or ""
         if skip:
-            if closing:
+            if loose:
+                depth = depth if name not in BLOCKS else 0
+            elif closing:
                 if name == skip:
                     depth -= 1
                 elif name in ("article", "main", "body") and article == skip_from and name != skip:
@@ -150,6 +179,7 @@ def lines(html: str) -> list[tuple[str, int, int]]:
             continue
         if name not in VOID and not rest.endswith("/") and _is_furniture(name, rest, article > 0):
             skip, depth, skip_from = name, 1, article
+            loose = token.start() in left_open
             if name not in BLOCKS:
                 continue
             end()

@@ -297,6 +297,16 @@ def test_main_text_without_an_article():
     assert main_text.main_text("<div>x<div id='post-7'><div>a<p>b</div>c<div class='comment-list'>d</div></div>e</div>") == "a b c"
 
 
+def test_main_text_with_elements_left_open():
+    assert main_text.main_text("<html><head><title>T</title><meta x><body><article><p>one</p></article>") == "one"
+    assert main_text.main_text("<html><head><title>T</title><script>x</script><article><p>one</p></article>") == "one"
+    for name in ("button", "iframe", "select", "object", "svg", "video"):
+        assert main_text.main_text(f"<article><p>a</p><p><{name} x=1>Share</p><p>b</p><div><{name}>no</{name}></div>c</article>") == "a b c", name
+        assert main_text.main_text(f"<article><p>a <{name}>Share</{name}> b</p><{name}>Share<p>c</p></article>") == "a b c", name
+    assert main_text.main_text("<article>a <math><mi>x</mi></math> b<script>c") == "a x b"
+    assert main_text.main_text("<article>a <svg><svg></svg>no<p>no</p></svg> b</article>") == "a b"
+
+
 def test_main_text_of_rows(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (3, "u", ""), (None, "u", "<article>x < y &lt; z"), (4, "u", "<main><p>" + "long text " * 50_000),
             (5, "u", "<<<>>><p"), (6, "u", "<article><p>a<article><p>b</article>c</article>d")]
