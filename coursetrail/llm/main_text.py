@@ -3,9 +3,10 @@
 Markup is stripped into lines: a block-level tag ends a line, inline tags leave nothing behind. Scripts, styles and
 elements that tags, roles or class names mark as menu, header, footer, side bar, notice, advert, form or reader
 comments become lines of length zero, as do lines that are mostly links. The lengths of every `WINDOW` lines in a
-row are summed. Text surges where sums turn positive and dives where they are zero again; what lies between them
-is kept if its largest sum reaches a threshold. Where a page marks its article (article, main, or else an element by its
-role, class or id), lines outside of it have length zero too, and any text in it is kept, however short.
+row are summed; lines that are empty because tags follow each other do not count. Text surges where sums turn positive and dives where they are zero
+again. From the first surge whose text reaches a threshold to the last one's dive all is kept but furniture and links. Where a page marks
+its article (article, main, or an element by its role, class or id), lines outside of it have length zero too, and any text in it is kept,
+however short. Of article or main and an element called content, the one that holds more text besides the other is taken.
 
 Character references are decoded, white space within a line becomes one space, lines are joined by one space in page
 order.
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 3
-SURGE = 80  # characters in a window that make a text, in pages without a marked article
+SURGE = 80  # characters between surge and dive that make a text, in pages without a marked article
 
 # Names of HTML elements and common marks of page furniture.
 BLOCKS = frozenset("""address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption
@@ -119,7 +120,7 @@ def _left_open(html: str) -> set[int]:
 def lines(html: str) -> list[tuple[str, int, int]]:
     """(text, characters of it in links, place) of each line; furniture is an empty line.
 
-    place: 2 within article or main, 1 within an element that is called content, else 0.
+    place: 2 within article or main, plus 1 within an element that is called content; -1 for furniture.
     """
     found: list[tuple[str, int, int]] = []
     parts: list[str] = []
@@ -131,7 +132,7 @@ def lines(html: str) -> list[tuple[str, int, int]]:
 
     def end() -> None:
         nonlocal links
-        found.append((" ".join("".join(parts).split()), links, 2 if article else 1 if content else 0))
+        found.append((" ".join("".join(parts).split()), links, (2 if article else 0) + (1 if content else 0)))
         parts.clear()
         links = 0
 
@@ -183,6 +184,7 @@ def lines(html: str) -> list[tuple[str, int, int]]:
             if name not in BLOCKS:
                 continue
             end()
+            found.append(("", 0, -1))
             continue
         if name in ("article", "main"):
             article += 1
@@ -198,13 +200,16 @@ def lines(html: str) -> list[tuple[str, int, int]]:
 
 def main_text(html: str | None) -> str:
     every = lines(html or "")
-    marked = max((place for text, _, place in every if text), default=0)
+    mass = [0, 0, 0, 0]
+    for text, _, place in every:
+        if text:
+            mass[place] += len(text)
+    marked = 2 if mass[2] + mass[3] and mass[2] + mass[3] >= mass[1] else 1 if mass[1] else 0
     if marked:
-        lengths = [len(text) if place >= marked else 0 for text, _, place in every]
-    else:
-        lengths = [len(text) if 2 * linked <= len(text) else 0 for text, linked, _ in every]
+        return " ".join(text for text, _, place in every if text and place & marked)
+    every = [line for line in every if line[0] or line[2] < 0]
+    lengths = [len(text) if 2 * linked <= len(text) else 0 for text, linked, _ in every]
     sums = [sum(lengths[i:i + WINDOW]) for i in range(len(lengths))]
-    kept: list[str] = []
     runs, begin = [], None
     for i, s in enumerate([*sums, 0]):
         if s and begin is None:
@@ -212,10 +217,8 @@ def main_text(html: str | None) -> str:
         elif not s and begin is not None:
             runs.append((begin, i))
             begin = None
-    for a, b in runs:
-        if marked or max(sums[a:b]) >= SURGE:
-            kept += [every[i][0] for i in range(a, b) if lengths[i]]
-    return " ".join(kept)
+    texts = [(a, b) for a, b in runs if sum(lengths[a:b]) >= SURGE]
+    return " ".join(every[i][0] for i in range(texts[0][0], texts[-1][1]) if lengths[i]) if texts else ""
 
 
 def extracted(pages: DataFrame) -> DataFrame:

@@ -297,6 +297,19 @@ def test_main_text_without_an_article():
     assert main_text.main_text("<div>x<div id='post-7'><div>a<p>b</div>c<div class='comment-list'>d</div></div>e</div>") == "a b c"
 
 
+def test_main_text_keeps_short_parts_of_pages_without_an_article():
+    long, links = "word " * 40, "<ul>" + "<li><a href=1>aaaa bbbb</a></li>" * 5 + "</ul>"
+    body = f"<div><div><h1>Title</h1></div></div><div><div><p>{long}</p></div></div><div class=ad>Buy</div><div><div><p>Last.</p></div></div>"
+    assert main_text.main_text(body) == " ".join(["Title"] + ["word"] * 40 + ["Last."])
+    body = f"{links}<div><p>{long}</p></div>{links}<div><p>Bridge.</p></div>{links}<div><p>{long}</p></div>{links}<p>end"
+    assert main_text.main_text(body) == " ".join(["word"] * 40 + ["Bridge."] + ["word"] * 40)
+    assert main_text.main_text("".join(f"<div><div><p>short part {i} of the page</p></div></div>" for i in range(6))).count("short part") == 6
+    teaser = "<article>Teaser</article>"
+    assert main_text.main_text(f"{teaser}<div class=content><p>{long}</p></div>") == " ".join(["word"] * 40)
+    assert main_text.main_text(f"<div class=content><article>{long}</article>x</div>") == " ".join(["word"] * 40)
+    assert main_text.main_text(f"<div class=content><p>{long}</p>{teaser}</div>") == " ".join(["word"] * 40 + ["Teaser"])
+
+
 def test_main_text_with_elements_left_open():
     assert main_text.main_text("<html><head><title>T</title><meta x><body><article><p>one</p></article>") == "one"
     assert main_text.main_text("<html><head><title>T</title><script>x</script><article><p>one</p></article>") == "one"
