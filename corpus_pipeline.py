@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coursetrail.llm import alike, mixing, pieces, ppm, substrings
+from coursetrail.llm import mixing, pieces, ppm, simhash, substrings
 from coursetrail.llm.queries import table, tokenizer_file
 from coursetrail.session import stored
 
@@ -20,8 +20,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates: those that pairs of similarity 0.8 or more join, by shingles of five words."""
-    return alike.without_alike(docs)
+    """One document of each group whose fingerprints are linked at 4 or fewer differing bits, of shingles of four words."""
+    return simhash.without_near_duplicates(docs, shingle=4, budget=4)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
