@@ -10,6 +10,14 @@ def parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or the name with underscores that no column of the frame has in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def boundaries(keys: DataFrame, key: str, count: int) -> list[int]:
     """At most count - 1 keys of the table that cut it into ranges of about equal size.
 

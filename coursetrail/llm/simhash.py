@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coursetrail.llm.components import connected
-from coursetrail.llm.order import parts
+from coursetrail.llm.order import free_name, parts
+from coursetrail.llm.words import pieces_of
 from coursetrail.session import stored
 
 SEED = 42
@@ -69,7 +70,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     schema = T.StructType([docs.schema[c] for c in others] + [T.StructField("fp", T.LongType())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces_of(batches, "text"):
             fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column("text")], dtype=np.uint64)
             yield pa.record_batch([batch.column(c) for c in others] + [pa.array(fps.view(np.int64))], names=[*others, "fp"])
 
@@ -296,12 +297,6 @@ def without_near_duplicates(docs: DataFrame, shingle: int = 4, budget: int = 4)
 
 def rows_chosen(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """The rows of docs with a doc_id and text of chosen (doc_id, text_hash), each once."""
-    keyed = docs.withColumn(name := _free_name(docs), F.xxhash64("text"))
+    keyed = docs.withColumn(name := free_name(docs, "text_hash"), F.xxhash64("text"))
     same = keyed["doc_id"].eqNullSafe(chosen["doc_id"]) & (keyed[name] == chosen["text_hash"])
     return keyed.join(chosen, same, "left_semi").dropDuplicates(["doc_id", name]).drop(name)
-
-
-def _free_name(docs: DataFrame, name: str = "text_hash") -> str:
-    while name in docs.columns:
-        name += "_"
-    return name

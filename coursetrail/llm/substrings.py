@@ -31,11 +31,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coursetrail.llm.fm_index import FMIndex, repeated_windows
-from coursetrail.llm.order import parts
+from coursetrail.llm.order import free_name, parts
 from coursetrail.llm.words import coded, pieces_of, ranges
 from coursetrail.session import stored
 
@@ -236,9 +236,13 @@ def _kept(texts: pa.Array, spans: pa.Array, text_out: bool) -> tuple[pa.Array, p
     return pa.array(words), pa.array(words - np.diff(at)), joined
 
 
+def _no_spans() -> Column:
+    return F.expr("array()").cast("array<struct<a:int,b:int>>")
+
+
 def _with_spans(docs: DataFrame, spans: DataFrame, *columns: str) -> DataFrame:
     joined = docs.join(spans, _same_document(docs, spans), "left")
-    return joined.select(*(docs[c] for c in columns), F.coalesce(spans["spans"], F.expr("array()").cast("array<struct<a:int,b:int>>")).alias("spans"))
+    return joined.select(*(docs[c] for c in columns), F.coalesce(spans["spans"], _no_spans()).alias("spans"))
 
 
 def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -260,16 +264,19 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     A text that loses nothing stays as it is; of others, the kept words are joined by a space. A document that
     loses all its words stays, with the empty text.
     """
-    keyed = docs.withColumn("text_hash", F.xxhash64("text"))
+    own, hidden = free_name(docs, "text_hash"), free_name(docs, "spans")
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    spans = repeated_spans(_keyed(slim), window)
-    frame = _with_spans(keyed, spans.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType)), *docs.columns)
+    found = repeated_spans(_keyed(slim), window).select(
+        F.col("doc_id").alias("of_doc"), F.col("text_hash").alias("of_text"), F.col("spans").alias(hidden))
+    keyed = docs.withColumn(own, F.xxhash64(F.coalesce("text", F.lit(""))))
+    same = keyed["doc_id"].cast("bigint").eqNullSafe(found["of_doc"]) & (keyed[own] == found["of_text"])
+    frame = keyed.join(found, same, "left").select(*(keyed[c] for c in docs.columns), F.coalesce(found[hidden], _no_spans()).alias(hidden))
     schema = docs.schema
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches, "text"):
             texts = batch.column("text")
-            _, gone, joined = _kept(texts, batch.column("spans"), text_out=True)
+            _, gone, joined = _kept(texts, batch.column(hidden), text_out=True)
             changed = pc.greater(gone, 0)
             out = {c: batch.column(c) for c in schema.names}
             out["text"] = pc.if_else(changed, joined.cast(texts.type), texts)

@@ -18,9 +18,9 @@ def coded(texts: pa.Array, ascii_lower: bool = False) -> tuple[np.ndarray, np.nd
 
     A null text has no words; neither has an empty one.
     """
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
     if ascii_lower:
-        texts = pc.ascii_lower(texts)
+        texts = pc.ascii_lower(texts)  # before the cast: on a slice that was cast it reads other rows' bytes
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
     lists = pc.ascii_split_whitespace(texts)
     flat = lists.flatten()
     offsets = np.asarray(lists.offsets, dtype=np.int64)

@@ -29,6 +29,17 @@ def test_words_of_texts():
     assert [words[a:b] for a, b in zip(offsets, offsets[1:])] == [[], [], ["a", "b", "a"], ["b", "c\x1cd"], ["é"]]
 
 
+def test_words_of_slices():
+    texts = pa.array([f"Word{i} É Two{i % 3} " * (i % 5) for i in range(40)] + [None], pa.string())
+    for lower in (False, True):
+        for begin, size in ((0, 41), (3, 11), (17, 24), (40, 1)):
+            for kind in (pa.string(), pa.large_string()):
+                part = texts.cast(kind).slice(begin, size)
+                offsets, codes, distinct = coded(part, ascii_lower=lower)
+                found = [[distinct[int(c)].as_py() for c in codes[a:b]] for a, b in zip(offsets, offsets[1:])]
+                assert found == [(t or "").replace("W", "w" if lower else "W").replace("T", "t" if lower else "T").split() for t in part.to_pylist()]
+
+
 def test_pieces_keep_all_rows():
     batch = pa.record_batch({"text": pa.array(["a" * n for n in (1, 50, 3, 200, 0)]), "n": pa.array(range(5))})
     found = list(pieces_of(iter([batch]), "text", 60))
