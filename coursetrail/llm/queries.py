@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursetrail.llm import digest, hnsw, main_text, mixing, pieces, ppm, repair, simhash, substrings, warc
+from coursetrail.llm import conversations, digest, hnsw, main_text, mixing, pieces, ppm, repair, simhash, substrings, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -133,9 +133,77 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return main_text.extracted(table(spark, folder, "pages"))
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repairs(conversations.damaged(table(spark, folder, "conversations")))
+
+
+def _plus(parse: str, cost: str, letters: str) -> str:
+    """A parse (nine digits of cost, then the audit) with an edit more."""
+    return f"lpad(CAST(CAST(substr({parse}, 1, 9) AS INT) + {cost} AS VARCHAR), 9, '0') || substr({parse}, 10) || '{letters}'"
+
+
+def _taken(parse: str, initial: str) -> str:
+    """A parse with a row that is kept if it has the initial, else gets another role."""
+    return f"CASE WHEN x = '{initial}' THEN {_plus(parse, 'cut', 'K')} ELSE {_plus(parse, '2 + cut', 'R')} END"
+
+
+OP11_SQL = rf"""
+WITH RECURSIVE given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+kinds AS (
+  SELECT *, xor(4294967295, list_reduce([4294967295] || list_transform(string_split(key, ''), lambda c: CAST(ascii(c) AS BIGINT)),
+    lambda crc, byte: list_reduce([xor(crc, byte)] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda v, z: xor(v >> 1, (v & 1) * 3988292384)))) % 20 AS kind
+  FROM given),
+numbers AS (SELECT conv_id, row_number() OVER () AS conv FROM (SELECT DISTINCT conv_id FROM conversations)),
+damaged AS (
+  SELECT conv, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM kinds k JOIN numbers n ON k.conv_id IS NOT DISTINCT FROM n.conv_id, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS t(copy)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, md5(text)) AS i FROM damaged),
+faults AS (
+  SELECT *, substr(role, 1, 1) AS x, NOT regexp_matches(text, '[^ 	-]') AS blank,
+         row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 AS again,
+         CAST(NOT regexp_matches(text, '[.!?][ 	-]*$') AS INT) AS cut,
+         lag(substr(role, 1, 1)) OVER (PARTITION BY conv ORDER BY i) AS before FROM placed),
+parses(conv, i, s0, s1, s2, s3) AS (
+  SELECT conv, 0::BIGINT, '000000000', NULL::VARCHAR, '000000002I', '000000004II' FROM numbers
+  UNION ALL
+  SELECT conv, i, t0, t1, least(t2, {_plus('t0', '2', 'I')}, {_plus('t1', '2', 'I')}, {_plus('t3', '2', 'I')}),
+         least(t3, {_plus('t2', '2', 'I')}, {_plus('t0', '4', 'II')}, {_plus('t1', '4', 'II')})
+  FROM (SELECT f.conv, f.i, {_plus('s0', '3', 'D')} AS t0,
+               least({_plus('s1', '3', 'D')}, CASE WHEN stays AND x = 's' THEN {_plus('s0', 'cut', 'K')} END) AS t1,
+               least({_plus('s2', '3', 'D')}, CASE WHEN stays THEN least({_taken('s0', 'u')}, {_taken('s1', 'u')}, {_taken('s3', 'u')}) END) AS t2,
+               least({_plus('s3', '3', 'D')}, CASE WHEN stays THEN {_taken('s2', 'a')} END) AS t3
+        FROM parses p JOIN (SELECT *, NOT blank AND NOT again AS stays FROM faults) f ON f.conv = p.conv AND f.i = p.i + 1)),
+counts AS (
+  SELECT conv, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (NOT blank AND again) AS duplicate, count(*) FILTER (NOT blank AND NOT again AND cut = 1) AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || x NOT IN ('su', 'ua', 'au')) AS illegal FROM faults GROUP BY conv),
+best AS (
+  SELECT p.conv, CAST(substr(least(s0, s3), 1, 9) AS BIGINT) AS cost, substr(least(s0, s3), 10) AS audit
+  FROM parses p LEFT JOIN counts c USING (conv) WHERE p.i = coalesce(c.n, 0)),
+letters AS (
+  SELECT conv, j, letter, count(*) FILTER (letter <> 'I') OVER w AS i, count(*) FILTER (letter <> 'D') OVER w AS o
+  FROM (SELECT conv, j, substr(audit, CAST(j AS INT), 1) AS letter FROM best, unnest(range(1, length(audit) + 1)) AS t(j))
+  WINDOW w AS (PARTITION BY conv ORDER BY j)),
+written AS (
+  SELECT l.*, f.role, CASE WHEN letter = 'I' THEN '' ELSE f.text END AS text,
+         bool_or(o = 1 AND letter = 'K' AND f.x = 's') OVER (PARTITION BY l.conv) AS led
+  FROM letters l LEFT JOIN faults f ON f.conv = l.conv AND f.i = l.i AND l.letter <> 'I' WHERE letter <> 'D'),
+texts AS (
+  SELECT conv, string_agg(CASE WHEN letter = 'K' THEN role WHEN (o - CAST(led AS INT)) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY j) AS whole
+  FROM written GROUP BY conv)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, cost, audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM numbers JOIN best USING (conv) LEFT JOIN counts USING (conv) LEFT JOIN texts USING (conv)
+"""
+
+
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quartile_digest, op2_source_mixing, op3_nearest_neighbours, op4_sentencepiece, op5_token_output, op6_substring_dedup, op7_language_id, op8_warc, op9_simhash_near_dedup, op10_main_text)}
+    return {f.__name__: f for f in (op1_quartile_digest, op2_source_mixing, op3_nearest_neighbours, op4_sentencepiece, op5_token_output, op6_substring_dedup, op7_language_id, op8_warc, op9_simhash_near_dedup, op10_main_text,
+                                   op11_conversation_repair)}
 
 
 def all_sql() -> dict[str, str]:
-    return {"op2_source_mixing": OP2_SQL, "op6_substring_dedup": OP6_SQL, "op8_warc": OP8_SQL}
+    return {"op2_source_mixing": OP2_SQL, "op6_substring_dedup": OP6_SQL, "op8_warc": OP8_SQL, "op11_conversation_repair": OP11_SQL}
