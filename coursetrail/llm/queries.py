@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursetrail.llm import conversations, digest, hnsw, main_text, mixing, pieces, ppm, repair, simhash, substrings, warc
+from coursetrail.llm import conversations, digest, hnsw, main_text, mixing, pieces, ppm, repair, runs, simhash, substrings, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -162,9 +162,11 @@ damaged AS (
   FROM kinds k JOIN numbers n ON k.conv_id IS NOT DISTINCT FROM n.conv_id, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS t(copy)),
 placed AS (SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, md5(text)) AS i FROM damaged),
 faults AS (
-  SELECT *, substr(role, 1, 1) AS x, NOT regexp_matches(text, '[^ 	-]') AS blank,
+  SELECT *, substr(role, 1, 1) AS x, NOT regexp_matches(text, '[^ 	-
+]') AS blank,
          row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 AS again,
-         CAST(NOT regexp_matches(text, '[.!?][ 	-]*$') AS INT) AS cut,
+         CAST(NOT regexp_matches(text, '[.!?][ 	-
+]*$') AS INT) AS cut,
          lag(substr(role, 1, 1)) OVER (PARTITION BY conv ORDER BY i) AS before FROM placed),
 parses(conv, i, s0, s1, s2, s3) AS (
   SELECT conv, 0::BIGINT, '000000000', NULL::VARCHAR, '000000002I', '000000004II' FROM numbers
@@ -200,9 +202,13 @@ FROM numbers JOIN best USING (conv) LEFT JOIN counts USING (conv) LEFT JOIN text
 """
 
 
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.periodic_runs(table(spark, folder, "documents"))
+
+
 def all_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_quartile_digest, op2_source_mixing, op3_nearest_neighbours, op4_sentencepiece, op5_token_output, op6_substring_dedup, op7_language_id, op8_warc, op9_simhash_near_dedup, op10_main_text,
-                                   op11_conversation_repair)}
+                                   op11_conversation_repair, op12_periodic_runs)}
 
 
 def all_sql() -> dict[str, str]:

@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from coursetrail.llm import conversations
+from coursetrail.llm import conversations, runs
 
 WS = " \t\n\v\f\r"
 
@@ -115,3 +115,107 @@ def test_every_split_of_a_span_gives_the_same_cell():
                 table[i, i + size] = cells[0]
         assert conversations.parsed(leaves) == table[0, len(leaves)]
     assert conversations.parsed([]) == conversations.NOTHING
+
+
+# ---------------------------------------------------------------- op 12
+
+
+def brute_lyndon(w):
+    def is_lyndon(s):
+        return all(s < s[k:] and s[:len(s) - k] != s[k:] for k in range(1, len(s)))
+    return [max(j - i for j in range(i + 1, len(w) + 1) if is_lyndon(w[i:j])) for i in range(len(w))]
+
+
+def brute_runs(w):
+    found = []
+    for q in range(1, len(w) // 4 + 1):
+        i = 0
+        while i + q < len(w):
+            if w[i] != w[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            n = j + q - i
+            smallest = next(p for p in range(1, q + 1) if w[i:i + n - p] == w[i + p:i + n])
+            if n >= max(6, 4 * q) and smallest == q:
+                found.append((i, n, q))
+            i = j
+    return sorted(found)
+
+
+def split_words(text):
+    out, word = [], ""
+    for c in (text or "") + " ":
+        if c not in WS:
+            word += c
+        elif word:
+            out.append(word)
+            word = ""
+    return out
+
+
+def brute_periodic(doc_id, text):
+    w = split_words(text)
+    n = len(w)
+    h = None if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h is not None and h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        w = [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+    found = brute_runs(w)
+    gone = {i for s, m, q in found for i in range(s + q, s + m)}
+    best = min(found, key=lambda r: (-r[1] / r[2], r[0], r[2])) if found else (None,) * 3
+    return (doc_id, n, len(found), *best, 1000 * best[1] // best[2] if found else None,
+            hashlib.sha256("".join(f"{s},{m},{q}\n" for s, m, q in found).encode()).hexdigest(), len(gone),
+            hashlib.sha256(" ".join(x for i, x in enumerate(w) if i not in gone).encode()).hexdigest())
+
+
+def repeating(rng, size, kinds=3):
+    w = []
+    while len(w) < size:
+        w += rng.integers(0, kinds, int(rng.integers(1, 6))).tolist() * int(rng.integers(1, 8))
+    return w[:size]
+
+
+def test_lyndon_arrays():
+    rng = np.random.default_rng(0)
+    for _ in range(400):
+        w = (rng.integers(1, int(rng.integers(2, 5)), int(rng.integers(1, 14)))).tolist()
+        assert runs.lyndon(w) == brute_lyndon(w), w
+    parts = [repeating(rng, 9) for _ in range(20)]
+    flat = [x + 1 for part in parts for x in [*part, -1]]
+    assert [x for x, c in zip(runs.lyndon(flat), flat) if c] == [x for part in parts for x in brute_lyndon(part)]
+
+
+def test_runs_equal_brute_force():
+    rng = np.random.default_rng(1)
+    for _ in range(400):
+        texts = [repeating(rng, int(rng.integers(0, 60)), int(rng.integers(1, 5))) for _ in range(int(rng.integers(1, 5)))]
+        offsets = np.cumsum([0, *map(len, texts)])
+        found = runs.runs(np.array([c for t in texts for c in t], np.int64), offsets, batch=int(rng.integers(1, 80)))
+        assert found == [brute_runs(t) for t in texts]
+    fibonacci = ["a", "ab"]
+    while len(fibonacci[-1]) < 400:
+        fibonacci.append(fibonacci[-1] + fibonacci[-2])
+    morse = [bin(i).count("1") % 2 for i in range(512)]
+    for w in ([ord(c) for c in fibonacci[-1]], morse, [1] * 700, morse[:64] * 9):
+        assert runs.runs(np.array(w), np.array([0, len(w)]))[0] == brute_runs(w)
+
+
+def test_periodic_documents(spark):
+    rng = np.random.default_rng(2)
+    texts = [None, "", " \n", "a " * 6, "a " * 5, "Ha ha " * 9 + "x", "é\x0bé\té\né\x1cé é é é é é é"]
+    texts += [" ".join(f"w{x}" for x in repeating(rng, int(rng.integers(0, 300)), int(rng.integers(1, 6)))) for _ in range(200)]
+    texts += [" ".join(f"v{x}" for x in rng.integers(0, 900, 1200)) for _ in range(6)]
+    rows = list(enumerate(texts)) + [(3, texts[3]), (None, texts[5]), (None, None), (-17, texts[9]), (None, "yes no " * 150_000)]
+    assert sum(zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in rows) >= 15
+    docs = frame(spark, rows, "doc_id bigint, text string").selectExpr("*", "1 AS start", "2 AS period")
+    found = runs.periodic_runs(docs).collect()
+    expected = Counter(brute_periodic(i, t) for i, t in rows if len(t or "") < 100_000)
+    assert Counter(tuple(r) for r in found if r.n_words < 100_000) == expected
+    longest = next(r for r in found if r.n_words == 300_000)
+    assert (longest.n_runs, longest.start, longest.length, longest.period, longest.n_dropped) == (1, 0, 300_000, 2, 299_998)
+    assert runs.periodic_runs(docs.limit(0)).isEmpty()
