@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursetrail.llm import conversations, digest, hnsw, main_text, mixing, pieces, ppm, repair, runs, simhash, substrings, warc
+from coursetrail.llm import contamination, conversations, digest, hnsw, main_text, mixing, pieces, ppm, repair, runs, simhash, substrings, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -206,10 +206,37 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return runs.periodic_runs(table(spark, folder, "documents"))
 
 
+def op13_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+OP13_SQL = r"""
+WITH plain AS (
+  SELECT * REPLACE (regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS text)
+  FROM (SELECT 'd' AS kind, doc_id AS id, row_number() OVER () AS r, text FROM documents
+        UNION ALL SELECT 'i', item_id, 0, text FROM benchmark)),
+windows AS (
+  SELECT DISTINCT coalesce(CAST(id AS VARCHAR), '') AS item, least(len(text), 10) AS size, array_to_string(text[k:k + least(len(text), 10) - 1], ' ') AS words
+  FROM plain, unnest(range(1, len(text) - least(len(text), 10) + 2)) AS t(k) WHERE kind = 'i' AND len(text) > 0),
+hits AS (
+  SELECT r, k, size, words
+  FROM (SELECT r, k, size, array_to_string(text[k:k + size - 1], ' ') AS words
+        FROM plain, (SELECT DISTINCT size FROM windows) s, unnest(range(1, len(text) - size + 2)) AS t(k) WHERE kind = 'd')
+  SEMI JOIN windows USING (size, words)),
+covered AS (SELECT r, count(DISTINCT k + j) AS n FROM hits, unnest(range(size)) AS t(j) GROUP BY r),
+items AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT r, item FROM hits JOIN windows USING (words)) GROUP BY r)
+SELECT id AS doc_id, CAST(len(text) AS BIGINT) AS n_words, coalesce(c.n, 0) AS n_hit, coalesce(i.n, 0) AS n_items, sha256(coalesce(list, '')) AS items_sha256,
+       coalesce(c.n, 0) > 0 AS contaminated
+FROM plain LEFT JOIN covered c USING (r) LEFT JOIN items i USING (r) WHERE kind = 'd'
+"""
+
+
 def all_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_quartile_digest, op2_source_mixing, op3_nearest_neighbours, op4_sentencepiece, op5_token_output, op6_substring_dedup, op7_language_id, op8_warc, op9_simhash_near_dedup, op10_main_text,
-                                   op11_conversation_repair, op12_periodic_runs)}
+                                   op11_conversation_repair, op12_periodic_runs, op13_benchmark_decontamination)}
 
 
 def all_sql() -> dict[str, str]:
-    return {"op2_source_mixing": OP2_SQL, "op6_substring_dedup": OP6_SQL, "op8_warc": OP8_SQL, "op11_conversation_repair": OP11_SQL}
+    return {"op2_source_mixing": OP2_SQL, "op6_substring_dedup": OP6_SQL, "op8_warc": OP8_SQL, "op11_conversation_repair": OP11_SQL,
+            "op13_benchmark_decontamination": OP13_SQL}

@@ -310,8 +310,8 @@ def test_components(spark):
 def test_registered():
     import __spark_entry__ as entry_points
 
-    assert len([n for n in entry_points.queries() if re.match(r"op\d+_", n)]) == 10 and "pipeline" in entry_points.queries()
-    assert {re.match(r"op(\d+)_", n)[1] for n in queries.all_queries()} == {str(i) for i in range(1, 11)}
+    assert len([n for n in entry_points.queries() if re.match(r"op\d+_", n)]) == 13 and "pipeline" in entry_points.queries()
+    assert {re.match(r"op(\d+)_", n)[1] for n in queries.all_queries()} == {str(i) for i in range(1, 14)}
 
 
 def test_queries_equal_their_sql(spark):

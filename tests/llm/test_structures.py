@@ -6,9 +6,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from coursetrail.llm import conversations, runs
+from coursetrail.llm import contamination, conversations, runs
 
 WS = " \t\n\v\f\r"
 
@@ -219,3 +220,74 @@ def test_periodic_documents(spark):
     longest = next(r for r in found if r.n_words == 300_000)
     assert (longest.n_runs, longest.start, longest.length, longest.period, longest.n_dropped) == (1, 0, 300_000, 2, 299_998)
     assert runs.periodic_runs(docs.limit(0)).isEmpty()
+
+
+# ---------------------------------------------------------------- op 13
+
+
+def bench_words(text):
+    out, word = [], ""
+    for c in (text or "") + " ":
+        c = c.lower() if "A" <= c <= "Z" else c
+        if "0" <= c <= "9" or "a" <= c <= "z" or ord(c) > 127:
+            word += c
+        elif word:
+            out.append(word)
+            word = ""
+    return out
+
+
+def brute_contaminated(docs, items):
+    windows = {}
+    for item, text in items:
+        w = bench_words(text)
+        size = min(10, len(w))
+        for i in range(len(w) - size + 1 if size else 0):
+            windows.setdefault(tuple(w[i:i + size]), set()).add("" if item is None else str(item))
+    sizes = {len(w) for w in windows}
+    for doc_id, text in docs:
+        w, hit, found = bench_words(text), set(), set()
+        for size in sizes:
+            for i in range(len(w) - size + 1):
+                if tuple(w[i:i + size]) in windows:
+                    hit |= set(range(i, i + size))
+                    found |= windows[tuple(w[i:i + size])]
+        yield doc_id, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)
+
+
+def test_plain_words_of_slices():
+    texts = pa.array(["Ab-C d\tÉx1", None, "", "a_b\x00c", "日本 Go"], pa.string())
+    for kind in (pa.string(), pa.large_string()):
+        for a in range(5):
+            for n in range(6 - a):
+                assert [t.split() for t in contamination.plain(texts.cast(kind).slice(a, n)).to_pylist()] == [bench_words(t) for t in texts.to_pylist()[a:a + n]]
+
+
+@pytest.mark.parametrize("short", [False, True])
+def test_contamination_equals_brute_force(spark, short):
+    rng = np.random.default_rng(4 + short)
+
+    def some(n, kinds=40):
+        return [f"W{x}" for x in rng.integers(0, kinds, n)]
+    items = [(i, some(int(rng.integers(0 if short else 9, 40)))) for i in range(40)] + [(7, some(14)), (None, some(12)), (50, ["the"] * 25), (51, ["the"] * 12)]
+    items += [(i, items[3][1]) for i in range(60, 90)] + ([(90, ["the"]), (91, ["of", "the"])] if short else [])
+    texts = [some(int(rng.integers(0, 120))) for _ in range(60)]
+    for k in range(60):  # a passage of an item, whole or in part, with other words around it
+        words = items[int(rng.integers(0, len(items)))][1]
+        a = int(rng.integers(0, 4))
+        texts.append(some(int(rng.integers(0, 30))) + words[a:a + int(rng.integers(8, 60))] + some(int(rng.integers(0, 30))))
+    texts += [["the"] * n for n in (9, 10, 11, 40)] + [["of", "the", "of"]] + [items[3][1] + ["x"]] * 40
+    marks = [" ", ", ", "\n", "-", "... ", "\x00"]
+
+    def written(words):
+        return "".join(w + marks[int(rng.integers(0, len(marks)))] for w in words)
+    items = [(i, written(w)) for i, w in items] + [(200, None), (201, ""), (202, "?!")]
+    docs = [(i, written(w)) for i, w in enumerate(texts)] + [(5, None), (5, ""), (None, written(texts[70])), (None, None), (1000, written(texts[71]))]
+    docs += [docs[70]] * 3 + [(2000, written(some(3000)) + items[3][1] + written(some(300_000)))]
+    data = frame(spark, docs, "doc_id bigint, text string").selectExpr("*", "1 AS words", "2 AS token")
+    benchmark = frame(spark, items, "item_id bigint, text string").selectExpr("*", "1 AS size", "2 AS place")
+    found = Counter(tuple(r) for r in contamination.contaminated(data, benchmark).collect())
+    assert found == Counter(brute_contaminated(docs, items))
+    assert sum(r[-1] for r in found) > 40
+    assert contamination.contaminated(data.limit(0), benchmark).isEmpty()
+    assert Counter(r.contaminated for r in contamination.contaminated(data, benchmark.limit(0)).collect()) == {False: len(docs)}
