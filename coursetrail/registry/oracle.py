@@ -394,6 +394,8 @@ SELECT CASE source WHEN 'staff' THEN 'facilitator_learning_activities' ELSE 'lea
     "completion_rebuild": "SELECT * FROM stored_completion",
     "completion_upsert": "SELECT * FROM stored_completion",
     "completion_upsert_late": "SELECT * FROM stored_completion",
+    "completion_store_default": "SELECT * FROM stored_completion",
+    "completion_late_days": "SELECT DISTINCT CAST(completed_at AS date) AS day, source FROM attempts WHERE lesson_id % 100 = 0",
     "incremental_refresh": f"SELECT {_FULL} FROM full_rows",
     "scoped_refresh": f"""
 SELECT {_FULL} FROM full_rows WHERE centre_id = {CENTRE.centre_id}

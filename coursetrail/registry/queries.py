@@ -12,8 +12,9 @@ from coursetrail.operators import allocation, combos, completion, fingerprint, i
 from coursetrail.plans import outputs
 from coursetrail.schema import ALLOCATION_OUTPUT, SOURCE_TYPES, SUBJECT_COMPLETED, shaped
 from coursetrail.scope import Scope
-from coursetrail.session import configure
+from coursetrail.session import configure, durable_dir
 from coursetrail.sinks import schema_check
+from coursetrail.sinks.user_table import UserTable
 from coursetrail.sources.sanitize import clean_timestamp, sanitize
 from coursetrail.sources.tables import Tables, source_profile
 
@@ -469,7 +470,38 @@ def completion_upsert(t):
 def completion_upsert_late(t):
     """Some attempts reach the log late: those of even lessons were not there when the table was built."""
     before = t.with_tables(**{table: t[table].filter(F.col("lesson_id") % 2 == 1) for table in completion.LOGS.values()})
-    return both(t, lambda log: incremental.upsert(incremental.rebuild(before, log), incremental.recent(t, log, None)))
+    return both(t, lambda log: incremental.upsert(incremental.rebuild(before, log), _meant(t, log)))
+
+
+def _meant(t: Tables, log: str) -> DataFrame:
+    return incremental.attempts_of(t, log, [r["day"] for r in incremental.day_sums(t, log).select("day").collect()])
+
+
+@_query
+def completion_store_default(t):
+    """A stored table, updated by default when attempts of some days came in, years late some of them."""
+    late = (F.dayofmonth("completed_at") <= 3) & (F.col("lesson_id") % 2 == 0)
+    before = t.with_tables(**{table: t[table].filter(~F.coalesce(late, F.lit(False))) for table in completion.LOGS.values()})
+
+    def stored(log: str) -> DataFrame:
+        store = UserTable(t.spark, durable_dir(t.spark, f"completion-{log}"), buckets=8)
+        incremental.update_store(before, log, store)
+        incremental.update_store(t, log, store)
+        return store.read()
+
+    return both(t, stored)
+
+
+@_query
+def completion_late_days(t):
+    """The days an update reads again after attempts came late, per log."""
+    def changed(log: str) -> DataFrame:
+        now = incremental.day_sums(t, log)
+        before = incremental.day_sums(t.with_tables(**{table: t[table].filter(F.col("lesson_id") % 100 != 0) for table in completion.LOGS.values()}), log)
+        days = incremental.changed_days(now, before)
+        return t.spark.createDataFrame([(d,) for d in days], "day date")
+
+    return both(t, changed)
 
 
 @_query

@@ -65,15 +65,16 @@ class Tables:
         aggregates: every task hands on one row, however large the table is.
         """
         if missing := [n for n in names if n not in self._measured]:
+            wanted = list(dict.fromkeys([*missing, *(n for n in LOOKUPS if n not in self._measured)]))
             parts = []
-            for name in dict.fromkeys([*missing, *(n for n in LOOKUPS if n not in self._measured)]):
+            for name in wanted:
                 df = self[name]
                 width = [F.coalesce(F.octet_length(c), F.lit(0)) if kind == "string" else F.lit(16) for c, kind in df.dtypes]
-                self._measured[name] = (0, 0)
                 parts.append(df.select(F.lit(name).alias("name"), sum(width[1:], width[0]).alias("width")))
             sizes = reduce(DataFrame.union, parts).groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.max("width").alias("width"))
-            for row in sizes.collect():
-                self._measured[row["name"]] = (row["n"], row["width"])
+            # Only what the job found is believed: should it fail, nothing counts as measured.
+            found = {row["name"]: (row["n"], row["width"]) for row in sizes.collect()}
+            self._measured.update({name: found.get(name, (0, 0)) for name in wanted})
         return [self._measured[n] for n in names]
 
     def is_small(self, name: str, *columns_of: str) -> bool:

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from school import attempt, day, frame, school, tables, user
 
 from coursetrail.operators import completion, fingerprint, incremental, rollup
@@ -157,14 +158,57 @@ def test_stored_completion_takes_late_equal_and_timeless_attempts(spark, tmp_pat
     new = tables(spark, learning_activities=rows + late)
     incremental.update_store(new, "learner", store)
     assert same(store.read(), incremental.rebuild(new, "learner"))
-    # Later than the overlap: only a comparison with the whole log takes it in.
-    very_late = tables(spark, learning_activities=rows + late + [attempt("idle", "l2", 5.0, at=1)])
+    # Earlier than the overlap: left out by an update that looks at later days only, and taken by the next one without it.
+    very_late = tables(spark, learning_activities=rows + late + [attempt("idle", "l2", 5.0, at=1), attempt("idle", "l7", 6.0, at=6)])
     incremental.update_store(very_late, "learner", store, overlap=dt.timedelta(days=1))
-    assert not same(store.read(), incremental.rebuild(very_late, "learner"))
-    incremental.update_store(very_late, "learner", store, overlap=None)
+    found = {(r.user_id, r.lesson_id) for r in store.read().collect()}
+    assert ("idle", "l7") in found and ("idle", "l2") not in found
+    incremental.update_store(very_late, "learner", store)
     assert same(store.read(), incremental.rebuild(very_late, "learner"))
 
 
+def test_default_update_takes_attempts_a_year_late_and_reads_their_days_only(spark, tmp_path, monkeypatch):
+    rows = school()["learning_activities"] + [attempt("idle", "l5", 1.0)[:6] + (day(3) + dt.timedelta(days=400 + i),) for i in range(30)]
+    late = [attempt("both", "l5", 9.0)[:6] + (day(3) - dt.timedelta(days=400),), attempt("learner", "l7", 8.0)[:6] + (day(3) + dt.timedelta(days=410),)]
+    path = str(tmp_path / "log")
+    log = lambda extra: tables(spark, learning_activities=rows + extra).learning_activities
+    log([]).write.parquet(path)
+    store = UserTable(spark, str(tmp_path / "done"), buckets=4)
+    opened = lambda: tables(spark).with_tables(learning_activities=spark.read.parquet(path))
+    incremental.update_store(opened(), "learner", store)
+    log(late).exceptAll(log([])).write.mode("append").parquet(path)
+    asked, attempts_of = [], incremental.attempts_of
+    monkeypatch.setattr(incremental, "attempts_of", lambda t, name, days: asked.append(attempts_of(t, name, days)) or asked[-1])
+    t = opened()
+    incremental.update_store(t, "learner", store)
+    assert same(store.read(), incremental.rebuild(t, "learner"))
+    read = {r.completed_at.date() for r in asked[0].collect()}
+    assert read == {r[6].date() for r in late}
+    plan = asked[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Or(And(GreaterThanOrEqual(completed_at,2022-11-29" in plan, plan
+    incremental.update_store(t, "learner", store)
+    assert len(asked) == 1
+
+
+def test_stretches_of_days(monkeypatch):
+    at = lambda *numbers: [dt.date(2024, 1, n) for n in numbers]
+    assert incremental.stretches([]) == []
+    assert incremental.stretches(at(5, 3, 4, 9)) == [(at(3)[0], at(6)[0]), (at(9)[0], at(10)[0])]
+    monkeypatch.setattr(incremental, "RANGES", 2)
+    assert incremental.stretches(at(1, 3, 9, 20)) == [(at(1)[0], at(10)[0]), (at(20)[0], at(21)[0])]
+
+
+def test_a_failed_measure_is_no_measure(spark):
+    t = tables(spark)
+    broken = t.subjects.filter(F.raise_error(F.lit("lost")).isNull())
+    known = t.with_tables(subjects=broken)
+    with pytest.raises(Exception, match="lost"):
+        known.is_small("lessons")
+    assert known._measured == {}
+    known._loaded["subjects"] = t.subjects
+    assert known.is_small("lessons") and known._measured["lessons"][0] == 15
+
+
 def test_upsert_of_a_source_that_changes_between_jobs_loses_nothing(spark, tmp_path):
     make = lambda rows: spark.createDataFrame(rows, "user_id string, v int")
     table = UserTable(spark, str(tmp_path / "t"), buckets=64)
