@@ -9,7 +9,7 @@ Order. Documents are dealt into ranges of doc_id and sorted within them; rows re
 other by their ids, rows with a null id come first.
 
 Shards. Some documents in a row, about `shard_tokens` tokens, make a shard. Re-Pair: the most frequent pairs of
-neighbouring symbols become new symbols, round after round; a pair never reaches over the end of a document. A
+neighbouring symbols become new symbols, round after round, until no pair is worth a rule; a pair never reaches over the end of a document. A
 shard is a row of a Parquet table: its rules (left, right), the expansion length of every rule, the
 symbols, and each document's first symbol. A token at a given place is found by adding up expansion lengths, without
 expanding what lies before it (`tokens_at`).
@@ -32,14 +32,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from coursetrail.llm.order import boundaries, parts, range_of
-from coursetrail.llm.words import coded, ranges
+from coursetrail.llm.words import coded, pieces_of, ranges
 from coursetrail.session import durable_dir
 
 SHARD_TOKENS = 1 << 20
-ROUNDS = 4
-PAIRS = 512  # new symbols in a round at most
-LEAST = 64  # occurrences that make a pair worth a rule
-TOP = 1024  # symbols whose pairs are counted in a round
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII, without the apostrophe, which may begin a token of letters
+LEAST = 16  # occurrences that make a pair worth a rule: a rule takes twelve bytes and its share of a round, an occurrence saves two
+BUCKETS = 18  # bits
 
 
 # ---------------------------------------------------------------- encoding
@@ -94,18 +93,19 @@ class WordEncoder:
         new = [w for w in words if w not in self.slots]
         if self.ends is None:
             self._each(new)
-            return np.fromiter((self.slots[w] for w in words), np.int64, len(words))
-        cut = [w for w in new if len(w) > 1 and w[-1] in ".," and w[:-1].isalpha()]  # a word and a mark of its own
-        units = dict.fromkeys([w for w in new if w.isalpha()] + [w[:-1] for w in cut])
-        self._letters([u for u in units if u not in self.slots])
-        cut_set = set(cut)
-        self._each([w for w in dict.fromkeys([w for w in new if w not in cut_set] + [w[-1] for w in cut]) if w not in self.slots])
-        cut = [w for w in cut if w not in self.slots]
-        if cut:
-            two = np.array([[self.slots[w[:-1]], self.slots[w[-1]]] for w in cut])
-            size = self.size[two]
-            self._add(cut, self.flat[ranges(self.begin[two].ravel(), size.ravel())], size.sum(axis=1))
-        return np.fromiter((self.slots[w] for w in words), np.int64, len(words))
+        else:
+            # Letters and a mark or several behind them never share a token, so each part is encoded on its own.
+            cut = {w: p for w in new if (p := w.rstrip(MARKS)) is not w and p.isalpha()}
+            units = dict.fromkeys([w for w in new if w.isalpha()] + list(cut.values()))
+            self._letters([u for u in units if u not in self.slots])
+            marks = [w[len(p):] for w, p in cut.items()]
+            self._each([w for w in dict.fromkeys([w for w in new if w not in cut] + marks) if w not in self.slots])
+            whole = [w for w in cut if w not in self.slots]
+            if whole:
+                two = np.array([[self.slots[cut[w]], self.slots[w[len(cut[w]):]]] for w in whole])
+                size = self.size[two]
+                self._add(whole, self.flat[ranges(self.begin[two].ravel(), size.ravel())], size.sum(axis=1))
+        return np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words))
 
     def encode(self, texts: pa.Array, end: int | None) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids): the ids of text i are ids[offsets[i]:offsets[i + 1]]; `end` closes each of them."""
@@ -113,7 +113,8 @@ class WordEncoder:
         special = np.zeros(len(texts), bool)
         for mark in self.special:
             special |= np.asarray(pc.match_substring(texts, mark, ignore_case=True))
-        offsets, codes, distinct = coded(pc.if_else(pa.array(special), "", texts), ascii_lower=True)
+        texts_in_words = pc.if_else(pa.array(special), "", texts)
+        offsets, codes, distinct = coded(texts_in_words if self.ends is None else spaced(texts_in_words), ascii_lower=True)
         slots = self.learn(distinct.to_pylist())[codes]
         begin, size = self.begin, self.size
         flat = [self.flat]
@@ -137,6 +138,35 @@ class WordEncoder:
         return ends, ids
 
 
+# Bytes of letters, and of the marks that no token shares with a letter before them.
+LETTER, MARK = np.zeros(256, bool), np.zeros(256, bool)
+LETTER[[c for c in range(128) if chr(c).isalpha()]] = True
+MARK[list(MARKS.encode())] = True
+
+
+def spaced(texts: pa.LargeStringArray) -> pa.LargeStringArray:
+    """Texts with a space between an ASCII letter and a mark behind it: fewer distinct words, and the same ids, where white space parts words."""
+    texts = pa.concat_arrays([texts])  # without an offset
+    offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+    at = np.flatnonzero(LETTER[data[:-1]] & MARK[data[1:]]) + 1
+    offsets = offsets - offsets[0]
+    moved = offsets + np.searchsorted(at, offsets)
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(moved), pa.py_buffer(np.insert(data, at, ord(" "))))
+
+
+_encoders: dict[int, WordEncoder] = {}
+
+
+def _encoder(spec: str) -> WordEncoder:
+    """The encoder of a file, one in a worker process: what a task has learned serves the next one."""
+    key = zlib.crc32(spec.encode())
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = WordEncoder(spec)
+    return _encoders[key]
+
+
 def narrow(count: int) -> np.dtype:
     """The smallest little-endian type that holds numbers below count."""
     return np.dtype("<u2") if count <= 1 << 16 else np.dtype("<u4")
@@ -145,46 +175,66 @@ def narrow(count: int) -> np.dtype:
 # ---------------------------------------------------------------- Re-Pair
 
 
-def compress(ids: np.ndarray, symbols: int, end: int, rounds: int = ROUNDS, pairs: int = PAIRS, least: int = LEAST,
-             top: int = TOP) -> tuple[np.ndarray, np.ndarray]:
-    """(sequence, rules): rule k is the pair that symbol `symbols + k` stands for."""
-    seq, rules = ids.astype(np.int64), np.zeros((0, 2), np.int64)
-    for _ in range(rounds):
-        total = symbols + len(rules)
-        if len(seq) < 2:
-            break
-        often = np.bincount(seq, minlength=total)
-        often[end] = 0
-        # A pair is no more frequent than its parts, so frequent pairs lie among frequent symbols.
-        chosen = np.argsort(-often, kind="stable")[:top]
-        chosen = chosen[often[chosen] >= least]
-        if not len(chosen):
-            break
-        width = len(chosen) + 1
-        rank = np.full(total, width - 1)
-        rank[chosen] = np.arange(width - 1)
-        own = rank[seq]
-        keys = own[:-1] * width + own[1:]
-        counts = np.bincount(keys, minlength=width * width)
-        counts[width - 1::width] = 0
-        counts[(width - 1) * width:] = 0
-        new = np.argpartition(-counts, min(pairs, len(counts) - 1))[:pairs] if len(counts) > pairs else np.arange(len(counts))
-        new = new[counts[new] >= least]
-        if not len(new):
-            break
-        new = new[np.lexsort((new, -counts[new]))]
-        symbol = np.zeros(width * width, np.int64)
-        symbol[new] = total + np.arange(len(new))
-        hit = symbol[keys]
-        at = np.flatnonzero(hit)
-        # Of pairs that overlap in a row, every other one is replaced, from the left.
-        fresh = np.concatenate(([True], np.diff(at) > 1))
-        begin = np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
-        at = at[(np.arange(len(at)) - begin) % 2 == 0]
-        seq[at] = hit[at]
-        seq = np.delete(seq, at + 1)
-        rules = np.concatenate((rules, np.stack((chosen[new // width], chosen[new % width]), axis=1)))
-    return seq, rules
+def compress(ids: np.ndarray, symbols: int, end: int, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
+    """(sequence, rules): rule k is the pair that symbol `symbols + k` stands for. No pair holds the symbol `end`.
+
+    A round takes all pairs that are at least an eighth as frequent as the most frequent one. Where two of them overlap, the more frequent one
+    is replaced. Rounds go on until no pair is found `least` times, below which a rule costs more than it saves, or symbols no longer fit two bytes.
+    """
+    seq, rules = ids.astype(np.uint32), []
+    limit, full = np.inf, symbols
+    room = (1 << 16) - symbols if symbols < 1 << 16 else (1 << 32) - symbols
+    while len(seq) > 1 and room > 0:
+        # Buckets of pairs are counted first; only pairs in well-filled buckets are told apart.
+        bucket = (seq[:-1] * np.uint32(0x9E3779B1) + seq[1:] * np.uint32(0x85EBCA6B)) >> np.uint32(32 - BUCKETS)
+        ends = seq == end
+        bucket[ends[:-1] | ends[1:]] = 1 << BUCKETS
+        filled = np.bincount(bucket, minlength=(1 << BUCKETS) + 1)
+        filled[-1] = 0
+        limit = max(least, min(limit, int(filled.max())) // 8)
+        at = np.flatnonzero(filled[bucket] >= limit)
+        keys = seq[at].astype(np.uint64) << np.uint64(32) | seq[at + 1]
+        order = np.argsort(keys, kind="stable")
+        ranked = keys[order]
+        new = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1]))) if len(at) else np.zeros(0, np.int64)
+        counts = np.diff(np.append(new, len(at)))
+        chosen = np.flatnonzero(counts >= limit)
+        chosen = chosen[np.argsort(-counts[chosen], kind="stable")][:room]
+        rank = np.full(len(new), len(chosen))
+        rank[chosen] = np.arange(len(chosen))
+        mine = np.empty(len(at), np.int64)
+        mine[order] = np.repeat(rank, counts)  # of each place: its pair, the most frequent one 0
+        at, mine = at[mine < len(chosen)], mine[mine < len(chosen)]
+        at, mine = _apart(at, mine)
+        used = np.bincount(mine, minlength=len(chosen))
+        good = used >= least
+        if not good.any():
+            if limit <= least:
+                break
+            continue
+        number = np.cumsum(good) - 1 + full
+        at, mine = at[good[mine]], mine[good[mine]]
+        pairs = ranked[new[chosen[good]]]
+        rules.append(np.stack((pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)), axis=1).astype(np.int64))
+        full, room = full + len(pairs), room - len(pairs)
+        seq[at] = number[mine]
+        keep = np.ones(len(seq), bool)
+        keep[at + 1] = False
+        seq = seq[keep]
+    return seq.astype(np.int64), np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
+
+
+def _apart(at: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of pairs without those that overlap a place of a more frequent pair; of a pair in a row with itself every other one stays."""
+    follows = np.concatenate(([False], np.diff(at) == 1))
+    same = follows & np.concatenate(([False], np.diff(rank) == 0))
+    begin = np.maximum.accumulate(np.where(same, 0, np.arange(len(at))))
+    odd = (np.arange(len(at)) - begin) % 2 == 1
+    before = np.concatenate(([np.iinfo(np.int64).max], rank[:-1]))
+    after = np.concatenate((rank[1:], [np.iinfo(np.int64).max]))
+    led = np.concatenate((follows[1:], [False]))
+    stay = ~odd & ~(follows & (before < rank)) & ~(led & (after < rank))
+    return at[stay], rank[stay]
 
 
 def expansion_lengths(rules: np.ndarray, symbols: int) -> np.ndarray:
@@ -248,8 +298,8 @@ def write(docs: DataFrame, tokenizer: str, end: int, path: str, shard_tokens: in
     kind = narrow(symbols)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(shared.value)
-        for batch in batches:
+        encoder = _encoder(shared.value)
+        for batch in pieces_of(batches, "text", 1 << 22):
             offsets, ids = encoder.encode(batch.column("text"), end)
             binary = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [
                 None, pa.py_buffer(offsets * kind.itemsize), pa.py_buffer(ids.astype(kind))])
