@@ -261,17 +261,15 @@ def expand(tables: Tables, subjects_of_users: DataFrame, category: Any = LESSON_
            all_types: bool = True) -> DataFrame:
     """Multiply user x subject rows by the lessons the user's role may see.
 
-    A few bytes of user x subject rows become many of lessons, so partitions sized by
-    their input would be far too large. The rows are spread by user and subject first,
-    which also splits a user with very many subjects.
+    A few bytes of user x subject rows become many of lessons. The rows are rebalanced by user and subject first: adaptive execution
+    makes as many parts of them as their bytes need, whatever the shuffle partitions are set to, and splits a user with very many subjects.
+    Lessons are joined to each part as a stream, so what a part grows to is not held.
     """
     rows, lesson_rows = subjects_of_users, lessons(tables, category, all_types)
     if "role" not in rows.columns:
         rows = rows.withColumn("role", access_role(F.col("user_type"), F.col("is_master_trainer")))
     if tables.is_small("lessons", "lesson_types"):
-        spark = tables.spark
-        spread = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-        rows, lesson_rows = rows.repartition(spread, "user_id", "subject_id"), F.broadcast(lesson_rows)
+        rows, lesson_rows = rows.hint("rebalance", F.col("user_id"), F.col("subject_id")), F.broadcast(lesson_rows)
     return rows.join(lesson_rows, "subject_id").filter(role_sees(F.col("role"), *[F.col(c) for c in ACCESS]))
 
 

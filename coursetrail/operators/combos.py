@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -158,3 +158,21 @@ def find_by_subject(rows: DataFrame, subject_id: str) -> DataFrame:
     """Users with a JSON record of this subject."""
     records = F.from_json("subject_combos", SUBJECT_RECORDS)
     return rows.filter(F.exists(records, lambda r: r["i"] == str(subject_id)))
+
+
+def as_variant(rows: DataFrame, column: str, records: str) -> DataFrame:
+    """The JSON column as VARIANT: read from text once, by whoever stores it, and not by each query."""
+    return rows.withColumn(column, F.to_variant_object(F.from_json(column, records)))
+
+
+def find_in_variant(rows: DataFrame, column: str, **values: str) -> DataFrame:
+    """Users with a record of these values in a VARIANT column; no text is parsed."""
+    fields = ", ".join(f"{field} string" for field in values)
+    records = F.try_variant_get(column, "$", f"array<struct<{fields.replace(' string', ':string')}>>")
+    return rows.filter(F.exists(records, lambda r: reduce(and_, [r[field] == str(value) for field, value in values.items()])))
+
+
+def records_of(rows: DataFrame, column: str, key: str = "tlo_users_id") -> DataFrame:
+    """(key, position, record) of every record in a VARIANT column."""
+    exploded = rows.sparkSession.tvf.variant_explode(F.col(column).outer())
+    return rows.select(key, column).lateralJoin(exploded).select(key, F.col("pos").alias("position"), F.col("value").alias("record"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coursetrail.session import folder
@@ -28,6 +28,12 @@ WATCHED: dict[str, list[str]] = {
 }
 
 
+def row_number_of(columns: list[str]) -> Column:
+    """A row's hash as a number, to be added up."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(20,0)")
+
+
 def table_fingerprint(tables: Tables, names: list[str] | None = None) -> DataFrame:
     """Row count and order-free content sum per table.
 
@@ -36,11 +42,9 @@ def table_fingerprint(tables: Tables, names: list[str] | None = None) -> DataFra
     """
     parts = []
     for name in names or sorted(WATCHED):
-        text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in WATCHED[name]])
-        number = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(20,0)")
         parts.append(tables[name].agg(
             F.count(F.lit(1)).alias("row_count"),
-            F.coalesce(F.sum(number), F.lit(0)).cast("string").alias("content_sum"),
+            F.coalesce(F.sum(row_number_of(WATCHED[name])), F.lit(0)).cast("string").alias("content_sum"),
         ).select(F.lit(name).alias("table_name"), "row_count", "content_sum"))
     return reduce(DataFrame.unionByName, parts)
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,3 +68,54 @@ def run_summary(lesson_rows: DataFrame) -> DataFrame:
         number(F.col("kind") == "subject", "subjects"), number(F.col("kind") == "lesson", "lessons"),
         F.coalesce(F.sum(F.when(user, F.col("rows"))), F.lit(0)).alias("row_count"),
         round_half_even(F.avg(F.when(user, F.col("pct"))), 1).alias("mean_completion_pct"))
+
+
+# ---------------------------------------------------------------- a summary that is kept
+
+CONTRIBUTION = "kind string, value string, n bigint, total decimal(38,2)"
+
+
+def contributions(lesson_rows: DataFrame) -> DataFrame:
+    """What rows add to a run summary, as numbers that can be taken out again: (kind, value, n, total).
+
+    Kind ``path`` counts users, and adds up their rows (kind ``rows``) and percentages, which have two places; ``subject`` and
+    ``lesson`` count rows by id, so that an id is known to be gone when its last row is.
+    """
+    text = lambda c: F.col(c).cast("string")
+    zero = F.lit(0).cast("decimal(38,2)")
+    users = lesson_rows.groupBy("user_id").agg(F.max("allocation_path").alias("path"), F.max("completion_pct").alias("pct"), F.count(F.lit(1)).alias("rows"))
+    paths = users.groupBy(F.coalesce("path", F.lit("")).alias("value")).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.col("pct").cast("decimal(20,2)")), F.lit(0)).cast("decimal(38,2)").alias("total"),
+        F.count("pct").alias("known"), F.sum("rows").alias("rows"))
+    def entry(kind: str, value, n, total):
+        return F.struct(F.lit(kind).alias("kind"), value.alias("value"), n.alias("n"), total.alias("total"))
+
+    measures = F.array(entry("path", F.col("value"), F.col("n"), F.col("total")), entry("known", F.lit(""), F.col("known"), zero),
+                       entry("rows", F.lit(""), F.col("rows"), zero))
+    ids = F.array(*[F.struct(F.lit(kind).alias("kind"), text(f"{kind}_id").alias("value")) for kind in ("subject", "lesson")])
+    things = (lesson_rows.select(F.explode(ids).alias("thing")).filter("thing.value IS NOT NULL").groupBy("thing.kind", "thing.value")
+              .agg(F.count(F.lit(1)).alias("n")).withColumn("total", zero))
+    return added([paths.select(F.explode(measures).alias("m")).select("m.*"), things])
+
+
+def added(parts: list[DataFrame], sign: Sequence[int] = ()) -> DataFrame:
+    """Contributions added up, those with the sign -1 taken out; what adds up to nothing goes."""
+    signs = [*sign, *[1] * (len(parts) - len(sign))]
+    every = reduce(DataFrame.unionByName, [df.select("kind", "value", (F.col("n") * s).alias("n"), (F.col("total") * s).cast("decimal(38,2)").alias("total"))
+                                           for df, s in zip(parts, signs, strict=True)])
+    return (every.groupBy("kind", "value").agg(F.sum("n").alias("n"), F.sum("total").cast("decimal(38,2)").alias("total"))
+            .filter("n <> 0 OR total <> 0"))
+
+
+def summary_of(contributed: DataFrame) -> DataFrame:
+    """The run summary from contributions: a row for each path, subject and lesson is read, no user's."""
+    def count(condition, name: str):
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).alias(name)
+
+    path, kind = F.col("kind") == "path", F.col("kind")
+    mean = F.sum(F.when(path, F.col("total"))).cast("double") / F.sum(F.when(kind == "known", F.col("n")))
+    return contributed.agg(
+        count(path, "users"), *[count(path & (F.col("value") == p), f"{p}_users") for p in ("ple", "non_ple", "staff")],
+        count(path & (F.col("value") == ""), "no_allocation_users"), F.count(F.when(kind == "subject", 1)).alias("subjects"),
+        F.count(F.when(kind == "lesson", 1)).alias("lessons"), count(kind == "rows", "row_count"),
+        round_half_even(mean, 1).alias("mean_completion_pct"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from coursetrail.functions.constants import ALLOCATION_BASIS
 from coursetrail.operators.completion import LOGS
+from coursetrail.operators.deltas import DEPTH, FAN, key_of
 from coursetrail.operators.fingerprint import WATCHED
 from coursetrail.registry.queries import BATCH, CENTRE, SCOPE, SINCE
 from coursetrail.schema import (
@@ -259,6 +260,34 @@ def _changed(value: str) -> str:
             f"LEFT JOIN ({before}) o ON o.table_name = n.table_name")
 
 
+# The watched tables before the mapping changes of the registered queries.
+_BEFORE = {
+    "centre_subject": "SELECT * FROM centre_subject WHERE centre_id <> 3 OR subject_order > 2",
+    "batch_subject": "SELECT * FROM batch_subject WHERE batch_id <> 7 OR id % 2 = 0",
+    "subject_trade": "SELECT * FROM subject_trade WHERE trade_id <> 'MACHINERY' OR id % 3 > 0",
+    "subject_ple_career_path": "SELECT * FROM subject_ple_career_path WHERE ple_career_path_id <> 2 OR id % 2 = 0",
+    "subjects": "SELECT * REPLACE (CASE WHEN id = 'Brand#23' THEN 1 ELSE status END AS status) FROM subjects",
+    "users": "SELECT * REPLACE (CASE WHEN id % 211 = 0 THEN 4 ELSE centre_id END AS centre_id) FROM users",
+}
+
+
+def _row_numbers(name: str, source: str) -> str:
+    """Key, bucket and number of every row."""
+    text = " || '|' || ".join(f"coalesce(CAST({c} AS string), '')" for c in WATCHED[name])
+    key = f"CAST({key_of(name)} AS string)"
+    return (f"SELECT '{name}' AS table_name, {key} AS row_key, CAST('0x' || substr(md5(coalesce({key}, '')), 13, 3) AS int) AS leaf, "
+            f"CAST('0x' || substr(md5({text}), 1, 15) AS bigint) AS number, {text} AS row_text FROM ({source})")
+
+
+_NUMBERED = {
+    "numbered_now": " UNION ALL ".join(_row_numbers(name, f"SELECT * FROM {name}") for name in sorted(WATCHED)),
+    "numbered_before": " UNION ALL ".join(_row_numbers(name, _BEFORE.get(name, f"SELECT * FROM {name}")) for name in sorted(WATCHED)),
+}
+for _side in ("now", "before"):
+    _LIBRARY[f"numbered_{_side}"] = _NUMBERED[f"numbered_{_side}"]
+    _LIBRARY[f"tree_{_side}"] = f"""
+SELECT table_name, CAST(level AS int) AS level, leaf // CAST(power({FAN}, {DEPTH} - level) AS int) AS node, count(*) AS n, sum(number) AS total
+FROM numbered_{_side}, range({DEPTH + 1}) AS t(level) GROUP BY 1, 2, 3"""
 
 _FULL = _names(LESSON_LEVEL_FULL_OUTPUT)
 _LENGTHS = " UNION ALL ".join(
@@ -403,9 +432,32 @@ UNION ALL SELECT {_FULL} FROM old_full_rows WHERE centre_id <> {CENTRE.centre_id
     "table_fingerprint": _FINGERPRINTS,
     "changed_tables": _changed("content_sum"),
     "changed_tables_by_count": _changed("row_count"),
+    "changed_buckets": """
+SELECT table_name, level, node FROM tree_now a FULL JOIN tree_before b USING (table_name, level, node)
+WHERE (a.n, a.total) IS DISTINCT FROM (b.n, b.total)""",
+    "changed_rows": """
+SELECT table_name, row_key, CAST(sum(sign) AS bigint) AS change
+FROM (SELECT table_name, row_key, row_text, 1 AS sign FROM numbered_now UNION ALL SELECT table_name, row_key, row_text, -1 FROM numbered_before)
+GROUP BY table_name, row_key, row_text HAVING sum(sign) <> 0""",
+    "mapping_refresh": f"SELECT {_FULL} FROM full_rows",
 }
 
 
+_QUERIES["find_users_by_phase_variant"] = _QUERIES["find_users_by_phase"]
+_QUERIES["find_users_by_subject_variant"] = _QUERIES["find_users_by_subject"]
+_QUERIES["phase_records_variant"] = """
+SELECT DISTINCT tlo_users_id, prog_name, project_id, proj_name, p_phase_id, phase FROM phase_rows"""
+_QUERIES["phase_records_variant"] = f"""
+SELECT tlo_users_id, proj_name, phase FROM ({_QUERIES["phase_records_variant"]})
+WHERE coalesce(prog_name, proj_name, phase) IS NOT NULL OR coalesce(project_id, p_phase_id) IS NOT NULL"""
+_QUERIES["run_summary_kept"] = _QUERIES["run_summary"]
+_QUERIES["rejected_values"] = """
+SELECT 'updated_at' AS "column", updated_at AS value, 'no date' AS reason, count(*) AS n FROM dump
+WHERE updated_at IN ('0000-00-00 00:00:00', '0001-01-01 00:00:00') GROUP BY updated_at
+UNION ALL SELECT 'score', score, 'no double', count(*) FROM dump WHERE TRY_CAST(score AS double) IS NULL AND score IS NOT NULL GROUP BY score"""
+_QUERIES["allocation_delta"] = _QUERIES["user_subject_map"]
+
+
 def all_sql() -> dict[str, str]:
     definitions = {**VIEWS, **_LIBRARY}
     return {name: with_clause(body, definitions) + body.strip() for name, body in _QUERIES.items()}

@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coursetrail.functions.predicates import assessment_flag, toolkit_type, year_allows
-from coursetrail.operators import allocation, combos, completion, fingerprint, incremental, rollup, users
+from coursetrail.operators import allocation, combos, completion, deltas, fingerprint, incremental, rollup, users
 from coursetrail.plans import outputs
 from coursetrail.schema import ALLOCATION_OUTPUT, SOURCE_TYPES, SUBJECT_COMPLETED, shaped
 from coursetrail.scope import Scope
-from coursetrail.session import configure, durable_dir
+from coursetrail.session import configure, durable_dir, stored
 from coursetrail.sinks import schema_check
+from coursetrail.sinks.snapshot import Change, Snapshots
 from coursetrail.sinks.user_table import UserTable
-from coursetrail.sources.sanitize import clean_timestamp, sanitize
+from coursetrail.sources.sanitize import checked, clean_timestamp, rejected, sanitize
 from coursetrail.sources.tables import Tables, source_profile
 
 # The test mapping numbers its lesson categories; 1 is the one that counts.
@@ -95,6 +97,12 @@ def sanitize_types(t):
     return sanitize(raw_text(t), {"updated_at": "timestamp_ntz", "score": "double"})
 
 
+@_query
+def rejected_values(t):
+    rows = checked(raw_text(t), {"updated_at": "timestamp_ntz", "score": "double"})
+    return rejected(rows).groupBy("column", "value", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 @_query
 def date_cleanup(t):
     raw = raw_text(t)
@@ -427,6 +435,25 @@ def find_users_by_subject(t):
     return combos.find_by_subject(rows, "Brand#12").select("tlo_users_id", "centre_name")
 
 
+@_query
+def find_users_by_phase_variant(t):
+    rows = combos.as_variant(combos.project_phase(combos.user_project_phase(t)), "project_phase_combos", combos.PHASE_RECORDS)
+    return combos.find_in_variant(rows, "project_phase_combos", pn="Project 7", ph="Phase 1").select("tlo_users_id", "user_name", "centre_name")
+
+
+@_query
+def find_users_by_subject_variant(t):
+    rows = combos.as_variant(outputs.user_json(t, category=CATEGORY), "subject_combos", combos.SUBJECT_RECORDS)
+    return combos.find_in_variant(rows, "subject_combos", i="Brand#12").select("tlo_users_id", "centre_name")
+
+
+@_query
+def phase_records_variant(t):
+    rows = combos.as_variant(combos.project_phase(combos.user_project_phase(t)), "project_phase_combos", combos.PHASE_RECORDS)
+    found = combos.records_of(rows, "project_phase_combos").filter("record IS NOT NULL")
+    return found.select("tlo_users_id", F.try_variant_get("record", "$.pn", "string").alias("proj_name"), F.try_variant_get("record", "$.ph", "string").alias("phase"))
+
+
 @_query
 def enforce_schema(t):
     return schema_check.enforce(outputs.user_json(t, category=CATEGORY))
@@ -483,13 +510,13 @@ def completion_store_default(t):
     late = (F.dayofmonth("completed_at") <= 3) & (F.col("lesson_id") % 2 == 0)
     before = t.with_tables(**{table: t[table].filter(~F.coalesce(late, F.lit(False))) for table in completion.LOGS.values()})
 
-    def stored(log: str) -> DataFrame:
+    def updated(log: str) -> DataFrame:
         store = UserTable(t.spark, durable_dir(t.spark, f"completion-{log}"), buckets=8)
         incremental.update_store(before, log, store)
         incremental.update_store(t, log, store)
         return store.read()
 
-    return both(t, stored)
+    return both(t, updated)
 
 
 @_query
@@ -543,3 +570,62 @@ def changed_tables(t):
 @_query
 def changed_tables_by_count(t):
     return fingerprint.changed_tables(fingerprint.table_fingerprint(t), _earlier(t), strategy="row_count")
+
+
+def _before_mapping_changes(t: Tables) -> Tables:
+    """The tables before rows of one centre, batch, trade and career path came in, a subject went and some users moved."""
+    moved = F.when(F.col("id") % 211 == 0, 4).otherwise(F.col("centre_id"))
+    return t.with_tables(
+        centre_subject=t.centre_subject.filter("centre_id <> 3 OR subject_order > 2"),
+        batch_subject=t.batch_subject.filter("batch_id <> 7 OR id % 2 = 0"),
+        subject_trade=t.subject_trade.filter("trade_id <> 'MACHINERY' OR id % 3 > 0"),
+        subject_ple_career_path=t.subject_ple_career_path.filter("ple_career_path_id <> 2 OR id % 2 = 0"),
+        subjects=t.subjects.withColumn("status", F.when(F.col("id") == "Brand#23", 1).otherwise(F.col("status"))),
+        users=t.users.withColumn("centre_id", moved.cast(t.users.schema["centre_id"].dataType)))
+
+
+def _change(t: Tables) -> Change:
+    """The states before and after the mapping changes."""
+    states = Snapshots(t.spark, durable_dir(t.spark, "states"))
+    states.save(before := states.take(_before_mapping_changes(t)))
+    return Change(states.take(t), before)
+
+
+@_query
+def changed_buckets(t):
+    return _change(t).nodes
+
+
+@_query
+def changed_rows(t):
+    """Keys of the rows that came, went or changed, and how many more of each there are now."""
+    key = {name: F.col(deltas.key_of(name)).cast("string").alias("row_key") for name in fingerprint.WATCHED}
+    rows = [df.select(F.lit(name).alias("table_name"), key[name], "change") for name, df in _change(t).rows().items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@_query
+def allocation_delta(t):
+    """The user-subject map after mapping changes, computed anew for the users concerned only."""
+    ids = stored(outputs.users_of_change(t, _change(t)), "concerned-users")
+    old = allocation.subject_map(_before_mapping_changes(t))
+    return outputs.merged_after(old, allocation.subject_map(t, Scope(user_ids=ids)), ids)
+
+
+@_query
+def mapping_refresh(t):
+    """The stored lesson table after a refresh that met new attempts and mapping changes at once."""
+    path, before = durable_dir(t.spark, "refreshed"), as_of(_before_mapping_changes(t), SINCE)
+    target = UserTable(t.spark, f"{path}/lesson", buckets=8)
+    for tables, since in ((before, None), (t, SINCE)):
+        outputs.refresh(tables, outputs.Targets(lesson=target), since=since, category=CATEGORY, snapshot=f"{path}/states")
+    return target.read()
+
+
+@_query
+def run_summary_kept(t):
+    """The summary after a full and a partial refresh, from the figures kept beside the table."""
+    path = durable_dir(t.spark, "summarised")
+    targets = outputs.Targets(lesson=UserTable(t.spark, f"{path}/lesson", buckets=8), summary=f"{path}/summary")
+    outputs.refresh(as_of(t, SINCE), targets, category=CATEGORY)
+    return outputs.refresh(t, targets, since=SINCE, category=CATEGORY)

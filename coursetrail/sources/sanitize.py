@@ -38,3 +38,30 @@ def sanitize(df: DataFrame, types: dict[str, str], clean_times: bool = False) ->
             value = value.try_cast(target)
         columns.append(value.alias(field.name))
     return df.select(*columns)
+
+
+REJECT = "array<struct<column:string,value:string,reason:string>>"
+
+
+def checked(df: DataFrame, types: dict[str, str], clean_times: bool = False, name: str = "rejects") -> DataFrame:
+    """``sanitize``, and in one more column the values that became NULL by it: column, text and why.
+
+    One pass: rows without an entry are clean, ``rejected`` lists the others' values. Write the frame once to have both.
+    """
+    clean = sanitize(df.select("*", F.struct("*").alias(name)), types, clean_times)
+    found = []
+    for field in df.schema.fields:
+        if field.name not in types or types[field.name] == field.dataType.simpleString() and not clean_times:
+            continue
+        before = F.col(f"{name}.{field.name}")
+        text = before.cast("string")
+        missing = text.startswith("0000-00-00") | text.startswith("0001-01-01")
+        reason = F.when(F.lit(types[field.name] == "timestamp_ntz") & missing, "no date").otherwise(f"no {types[field.name]}")
+        found.append(F.when(before.isNotNull() & F.col(field.name).isNull(), F.struct(F.lit(field.name).alias("column"), text.alias("value"), reason.alias("reason"))))
+    rejects = F.array_compact(F.array(*found)) if found else F.lit(None).cast(REJECT)
+    return clean.withColumn(name, F.coalesce(rejects.cast(REJECT), F.array().cast(REJECT)))
+
+
+def rejected(rows: DataFrame, *keys: str, name: str = "rejects") -> DataFrame:
+    """(keys, column, value, reason) of every value that ``checked`` could not take."""
+    return rows.filter(F.size(name) > 0).select(*keys, F.explode(name).alias("reject")).select(*keys, "reject.*")

@@ -8,7 +8,8 @@ keeps that state in a table instead and is the one for long runs.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,3 +56,16 @@ def keep_completion_table(stream: DataFrame, table: UserTable, checkpoint: str,
     writer = finished(stream).writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
+
+
+def changed_users(logs: Sequence[DataFrame], late: str = "7 days") -> DataFrame:
+    """Users with new finished attempts in any of the logs, once in each stretch of time, as a stream.
+
+    Both logs are one stream; within ``late`` of its first attempt a user is named once. A user's entry leaves the state when the watermark has
+    passed it, so the state is bounded by the users of that time. Attempts later than ``late`` behind the newest one are left to
+    an update by day sums (``update_store``).
+    """
+    moments = [finished(log).select("user_id", "completed_at").filter("user_id IS NOT NULL AND completed_at IS NOT NULL") for log in logs]
+    # Watermarks need a timestamp with zone; the session's zone is UTC.
+    moment = reduce(DataFrame.unionByName, moments).withColumn("completed_at", F.col("completed_at").cast("timestamp"))
+    return moment.withWatermark("completed_at", late).dropDuplicatesWithinWatermark(["user_id"]).select("user_id")

@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 from school import attempt, day, frame, school, tables, user
 
-from coursetrail.operators import completion, fingerprint, incremental, rollup
+from coursetrail.operators import completion, deltas, fingerprint, incremental, rollup
 from coursetrail.plans import outputs
 from coursetrail.scope import Scope
+from coursetrail.sinks.snapshot import Change, Snapshots
 from coursetrail.sinks.user_table import UserTable, write_csv
 
 
@@ -227,18 +228,6 @@ def test_upsert_of_a_source_that_changes_between_jobs_loses_nothing(spark, tmp_p
     assert found == sorted([(f"u{i}", i) for i in range(40)] + [("u1", 100)])
 
 
-def test_refresh_after_a_mapping_change_recomputes_everyone(spark, tmp_path):
-    t, path = tables(spark), str(tmp_path / "snapshot")
-    targets = outputs.Targets(UserTable(spark, str(tmp_path / "lesson"), buckets=4))
-    outputs.refresh(t, targets, snapshot=path)
-    moved = tables(spark, users=[user("learner", centre="c2")] + school()["users"][1:])
-    outputs.refresh(moved, targets, since="2024-02-01")
-    assert not same(targets.lesson.read(), outputs.lesson_level_full(moved))
-    outputs.refresh(moved, targets, since="2024-02-01", snapshot=path)
-    assert same(targets.lesson.read(), outputs.lesson_level_full(moved))
-    assert not fingerprint.allocation_changed(moved, path)
-
-
 def test_intermediate_tables_go_after_success(spark, tmp_path):
     from coursetrail.session import kept
     with kept(spark.range(3), "gone-later") as rows:
@@ -246,3 +235,86 @@ def test_intermediate_tables_go_after_success(spark, tmp_path):
         assert rows.count() == 3
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(files[0].rpartition("/")[0])
+
+
+def moved_mappings(spark):
+    """The school with changes in every kind of mapping, and the users whom they concern at least."""
+    rows = school()
+    replaced = {
+        "centre_subject": rows["centre_subject"][1:] + [("11", "c2", "s1", 4)],
+        "batch_subject": rows["batch_subject"][:2] + [("9", "b1", "s3")],
+        "subject_trade": rows["subject_trade"][1:],
+        "subject_ple_career_path": rows["subject_ple_career_path"] + [("7", "k1", "s2")],
+        "trades": [("t1", 5), ("t2", None)],
+        "ple_career_paths": [("k1", "Chef", None), *rows["ple_career_paths"][1:]],
+        "subjects": [("s1", "Renamed", 0, None, None, 1, None), *rows["subjects"][1:]],
+        "lessons": rows["lessons"][:4] + rows["lessons"][5:],
+        "lesson_types": [("video", "mp4"), ("pdf", " PDF ")],
+        "users": [user("learner", centre="c2"), user("new", centre="c1"), user("idle", status=0), *[u for u in rows["users"] if u[0] not in ("learner", "idle")]],
+        "student_details": rows["student_details"][1:],
+        "ple_career_path_user": rows["ple_career_path_user"][1:],
+    }
+    return rows, replaced
+
+
+CONCERNED = {  # users that must be found, and some that must not
+    "centre_subject": ({"learner", "pdf_only", "admin"}, {"no_centre"}),
+    "batch_subject": ({"batched", "both", "twice", "idle", "ple"}, {"learner", "traded", "admin", "pdf_only"}),
+    "subject_trade": ({"traded", "both", "twice", "ple"}, {"learner", "batched", "admin", "pdf_only"}),
+    "subject_ple_career_path": ({"ple"}, {"learner", "admin"}),
+    "trades": ({"traded", "both", "ple"}, {"learner", "batched"}),
+    "ple_career_paths": ({"ple"}, {"learner", "admin"}),
+    "subjects": ({"learner", "admin", "ple"}, {"pdf_only", "no_centre"}),
+    "lessons": ({"learner", "admin"}, {"pdf_only"}),
+    "lesson_types": ({"learner", "admin"}, set()),
+    "users": ({"learner", "new", "idle"}, {"batched", "admin"}),
+    "student_details": ({"batched"}, {"learner", "both"}),
+    "ple_career_path_user": ({"ple"}, {"learner", "ple_gone_path"}),
+}
+
+
+@pytest.mark.parametrize("name", CONCERNED)
+def test_changes_of_a_mapping_concern_its_users(spark, name):
+    rows, replaced = moved_mappings(spark)
+    new, columns = tables(spark, **{name: replaced[name]}), fingerprint.WATCHED[name]
+    then, now = frame(spark, name, rows[name]), frame(spark, name, replaced[name])
+    if name == "centre_subject":
+        then, now = (df.withColumnRenamed("order", "subject_order") for df in (then, now))
+    then, now = then.select(*columns), now.select(*columns)
+    changes = {name: now.exceptAll(then).withColumn("change", F.lit(1)).unionByName(then.exceptAll(now).withColumn("change", F.lit(-1)))}
+    before = {t: tables(spark)[t] for t in ("centre_subject", "lessons")}
+    found = {r.user_id for r in deltas.concerned_users(new, before, changes).collect()}
+    wanted, others = CONCERNED[name]
+    assert wanted <= found and not others & found
+
+
+def test_refresh_after_mapping_changes_recomputes_the_users_concerned(spark, tmp_path, monkeypatch):
+    _, replaced = moved_mappings(spark)
+    path = str(tmp_path / "states")
+    targets = outputs.Targets(UserTable(spark, str(tmp_path / "lesson"), buckets=4), summary=str(tmp_path / "summary"))
+    outputs.refresh(tables(spark), targets, snapshot=path)
+    asked, inner = [], outputs._written
+    monkeypatch.setattr(outputs, "_written", lambda a, b, c, ids, *d: asked.append(None if ids is None else {r.user_id for r in ids.collect()}) or inner(a, b, c, ids, *d))
+    moved = tables(spark, batch_subject=replaced["batch_subject"], users=replaced["users"], trades=replaced["trades"],
+                   ple_career_path_user=replaced["ple_career_path_user"])
+    summary = outputs.refresh(moved, targets, since="2024-02-01", snapshot=path).first()
+    whole = outputs.lesson_level_full(moved)
+    assert same(targets.lesson.read(), whole)
+    assert {"learner", "new", "idle", "batched", "ple", "traded"} <= asked[0] and "admin" not in asked[0]
+    # The figures that were kept are those of the whole table.
+    assert summary == rollup.run_summary(targets.lesson.read()).first()
+
+
+def test_states_share_copies_of_tables_that_did_not_change(spark, tmp_path):
+    states = Snapshots(spark, str(tmp_path / "states"))
+    assert states.latest() is None
+    states.save(first := states.take(tables(spark)))
+    again = states.take(tables(spark, users=list(reversed(school()["users"]))))
+    assert again.tree_path == first.tree_path
+    second = states.take(tables(spark, trades=[]))
+    assert {n for n in second.copies if second.copies[n] != first.copies[n]} == {"trades"} and states.latest().copies == first.copies
+    change = Change(second, first)
+    assert {(r.id, r.change) for r in change.rows()["trades"].collect()} == {("t1", -1), ("t2", -1)}
+    assert {r.level for r in change.nodes.collect()} == {0, 1, 2, 3}
+    states.save(second)
+    assert not UserTable(spark, "x").has(first.copies["trades"]) and UserTable(spark, "x").has(first.copies["users"])

@@ -59,3 +59,23 @@ def test_stream_refreshes_the_outputs_of_its_users(spark, tmp_path):
     activity.keep_completion_table(stream, store, str(tmp_path / "check"), then).awaitTermination(300)
     done = {(r.user_id, r.lesson_id) for r in targets.lesson.read().filter("completed = 1").collect()}
     assert done == {("learner", "l1"), ("idle", "l5")}
+
+
+@pytest.mark.parametrize("batches", [BATCHES, BATCHES[::-1]])
+def test_changed_users_of_both_logs_once(spark, tmp_path, batches):
+    logs = [source(spark, str(tmp_path / name), part) for name, part in (("learner", batches), ("staff", [[attempt("a", "s", 1.0), attempt("d", "s", 2.0, at=5)]]))]
+    query = (activity.changed_users(logs, "30 days").writeStream.format("memory").queryName("changed").outputMode("append")
+             .option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start())
+    query.awaitTermination(120)
+    assert sorted(r.user_id for r in spark.table("changed").collect()) == ["a", "b", "c", "d"]
+
+
+def test_state_of_changed_users_shrinks_behind_the_watermark(spark, tmp_path):
+    rows = [[attempt(f"u{i}", "x", 1.0, at=1) for i in range(20)], [attempt("late", "x", 1.0, at=20)], [attempt("last", "x", 1.0, at=21)]]
+    stream = activity.changed_users([source(spark, str(tmp_path / "in"), rows)], "2 days")
+    query = (stream.writeStream.format("memory").queryName("shrinking").outputMode("append")
+             .option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start())
+    query.awaitTermination(120)
+    kept = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+    assert max(kept) >= 20 and kept[-1] <= 2
+    assert spark.table("shrinking").count() == 22
