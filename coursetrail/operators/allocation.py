@@ -257,19 +257,39 @@ def subject_map(tables: Tables, scope: Scope = EVERYONE, paths: Sequence[str] =
 # ---------------------------------------------------------------- user x lesson
 
 
+ROWS_PER_TASK = 4_000_000  # user x lesson rows
+
+
+def _spread(tables: Tables, category: Any) -> int:
+    """Tasks for the user x lesson rows: at least the shuffle partitions, and enough for what all centres offer to all their active users.
+
+    Asked once of a set of tables: users are counted per centre, and meet one row per centre.
+    """
+    spark = tables.spark
+    least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+    def predict() -> int:
+        sizes = lessons(tables, category).groupBy("subject_id").agg(F.count(F.lit(1)).alias("n"))
+        offers = tables.centre_subject.select("centre_id", "subject_id").distinct().join(sizes, "subject_id").groupBy("centre_id").agg(F.sum("n").alias("n"))
+        people = tables.users.filter(is_active_user()).groupBy("centre_id").agg(F.count(F.lit(1)).alias("people"))
+        return people.join(offers, "centre_id").agg(F.sum(F.col("people") * F.col("n"))).first()[0] or 0
+
+    return max(least, -(-tables.known(f"user x lesson rows of {category}", predict) // ROWS_PER_TASK))
+
+
 def expand(tables: Tables, subjects_of_users: DataFrame, category: Any = LESSON_CATEGORY,
            all_types: bool = True) -> DataFrame:
     """Multiply user x subject rows by the lessons the user's role may see.
 
-    A few bytes of user x subject rows become many of lessons. The rows are rebalanced by user and subject first: adaptive execution
-    makes as many parts of them as their bytes need, whatever the shuffle partitions are set to, and splits a user with very many subjects.
-    Lessons are joined to each part as a stream, so what a part grows to is not held.
+    A few bytes of user x subject rows become many of lessons, so parts sized by their bytes would be far too few.
+    The rows are spread by user and subject first, which also splits a user with very many subjects, over as many tasks as
+    the predicted number of rows needs.
     """
     rows, lesson_rows = subjects_of_users, lessons(tables, category, all_types)
     if "role" not in rows.columns:
         rows = rows.withColumn("role", access_role(F.col("user_type"), F.col("is_master_trainer")))
     if tables.is_small("lessons", "lesson_types"):
-        rows, lesson_rows = rows.hint("rebalance", F.col("user_id"), F.col("subject_id")), F.broadcast(lesson_rows)
+        rows, lesson_rows = rows.repartition(_spread(tables, category), "user_id", "subject_id"), F.broadcast(lesson_rows)
     return rows.join(lesson_rows, "subject_id").filter(role_sees(F.col("role"), *[F.col(c) for c in ACCESS]))
 
 

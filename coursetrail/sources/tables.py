@@ -39,6 +39,7 @@ class Tables:
         self._loaded: dict[str, DataFrame] = dict(replaced or {})
         self._clean_times = clean_times
         self._measured: dict[str, tuple[int, int]] = dict(measured or {})
+        self._known: dict[str, int] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in SOURCE_TYPES:
@@ -58,6 +59,12 @@ class Tables:
         known = {name: size for name, size in self._measured.items() if name not in frames}
         return Tables(self.spark, self._loader, {**self._loaded, **frames}, self._clean_times, known)
 
+    def known(self, what: str, find: Callable[[], int]) -> int:
+        """A number about these tables, found once."""
+        if what not in self._known:
+            self._known[what] = find()
+        return self._known[what]
+
     def _measure(self, *names: str) -> list[tuple[int, int]]:
         """Rows of tables and bytes of their widest rows.
 

@@ -5,7 +5,7 @@ import re
 from pyspark.sql import functions as F
 from school import tables
 
-from coursetrail.operators import completion, incremental
+from coursetrail.operators import allocation, completion, incremental
 from coursetrail.plans import outputs
 
 
@@ -103,3 +103,13 @@ def test_a_hot_centre_is_split(spark, monkeypatch):
         for key in settings:
             spark.conf.unset(key)
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_tasks_of_the_expansion_follow_the_predicted_rows(spark, monkeypatch):
+    def tasks():
+        plan = allocation.combined(tables(spark))._jdf.queryExecution().executedPlan().toString()
+        return int(plan.split("REPARTITION_BY_NUM")[0].rpartition("hashpartitioning(user_id")[2].split("), ")[0].split(", ")[-1])
+
+    assert tasks() == 4
+    monkeypatch.setattr(allocation, "ROWS_PER_TASK", 5)
+    assert tasks() > 20
