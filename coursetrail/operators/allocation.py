@@ -26,8 +26,9 @@ from coursetrail.functions.predicates import (
     role_sees, toolkit_type, year_allows,
 )
 from coursetrail.operators import users
-from coursetrail.schema import ALLOCATION_OUTPUT, PATH_ALLOCATION_OUTPUT, SUBJECT_MAP_OUTPUT, shaped
+from coursetrail.schema import ALLOCATION_OUTPUT, LESSON, PATH_ALLOCATION_OUTPUT, SUBJECT_MAP_OUTPUT, shaped
 from coursetrail.scope import EVERYONE, Scope
+from coursetrail.session import stored
 from coursetrail.sources.tables import Tables
 
 ROLES = ("learner", "admin", "facilitator", "master")
@@ -258,44 +259,109 @@ def subject_map(tables: Tables, scope: Scope = EVERYONE, paths: Sequence[str] =
 
 
 ROWS_PER_TASK = 4_000_000  # user x lesson rows
+BLOCK = 256  # lessons that lie in one row, about
+COPIES = 8  # of the lessons, that a few users may be spread by
+SLICE = "slice_of_subject"  # of the users of a subject, where lessons are too many for a broadcast
+
+
+def _loads(tables: Tables, category: Any) -> DataFrame:
+    """Per subject: its lessons, and the active users of the centres that offer it. Users are counted per centre, and meet one row per centre."""
+    sizes = lessons(tables, category).groupBy("subject_id").agg(F.count(F.lit(1)).alias("lessons"))
+    people = tables.users.filter(is_active_user()).groupBy("centre_id").agg(F.count(F.lit(1)).alias("people"))
+    offers = tables.centre_subject.select("centre_id", "subject_id").distinct().join(people, "centre_id")
+    return offers.groupBy("subject_id").agg(F.sum("people").alias("people")).join(sizes, "subject_id")
 
 
 def _spread(tables: Tables, category: Any) -> int:
     """Tasks for the user x lesson rows: at least the shuffle partitions, and enough for what all centres offer to all their active users.
 
-    Asked once of a set of tables: users are counted per centre, and meet one row per centre.
+    Asked once of a set of tables.
     """
-    spark = tables.spark
-    least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-
     def predict() -> int:
-        sizes = lessons(tables, category).groupBy("subject_id").agg(F.count(F.lit(1)).alias("n"))
-        offers = tables.centre_subject.select("centre_id", "subject_id").distinct().join(sizes, "subject_id").groupBy("centre_id").agg(F.sum("n").alias("n"))
-        people = tables.users.filter(is_active_user()).groupBy("centre_id").agg(F.count(F.lit(1)).alias("people"))
-        return people.join(offers, "centre_id").agg(F.sum(F.col("people") * F.col("n"))).first()[0] or 0
+        return _loads(tables, category).agg(F.sum(F.col("people") * F.col("lessons"))).first()[0] or 0
+
+    return max(_least(tables), -(-tables.known(f"user x lesson rows of {category}", predict) // ROWS_PER_TASK))
+
+
+def _least(tables: Tables) -> int:
+    return max(int(tables.spark.conf.get("spark.sql.shuffle.partitions")), tables.spark.sparkContext.defaultParallelism)
+
+
+def _slices(tables: Tables, category: Any) -> tuple[DataFrame, int]:
+    """(subject_id, slices), and tasks enough for all slices.
+
+    A slice has the users of a subject that `ROWS_PER_TASK` rows allow, but there are not more slices than make the copies of
+    its lessons as many as its users, or `COPIES` of them: what is shuffled grows with both tables and not with their product.
+    """
+    def find() -> tuple[DataFrame, int]:
+        copies = F.least(F.ceil(F.col("people") * F.col("lessons") / ROWS_PER_TASK),
+                         F.greatest(F.ceil(F.col("people") / F.col("lessons")), F.lit(COPIES)))
+        found = stored(_loads(tables, category).select("subject_id", copies.cast("int").alias("slices")), "slices")
+        return found, found.agg(F.sum("slices")).first()[0] or 0
 
-    return max(least, -(-tables.known(f"user x lesson rows of {category}", predict) // ROWS_PER_TASK))
+    found, total = tables.known(f"slices of {category}", find)
+    return found, max(_least(tables), 2 * total)
+
+
+def _sliced(tables: Tables, rows: DataFrame, category: Any) -> DataFrame:
+    """Rows of users and subjects, dealt over tasks by subject and slice."""
+    slices, tasks = _slices(tables, category)
+    which = F.pmod(F.xxhash64("user_id"), F.coalesce(F.col("slices"), F.lit(1))).cast("int")
+    return rows.join(tables.lookup(slices, "subjects"), "subject_id", "left").withColumn(SLICE, which).drop("slices").repartition(
+        tasks, "subject_id", SLICE)
+
+
+def beside_allocated(tables: Tables, allocated: DataFrame, results: DataFrame, category: Any = LESSON_CATEGORY) -> DataFrame:
+    """Rows of (user_id, lesson_id) brought to where ``expand`` has left the rows of the user and the lesson.
+
+    Where that is by subject and slice, they get these two columns; results on lessons that nobody is allocated are left out then.
+    """
+    if SLICE not in allocated.columns:
+        return results
+    subject_of = lessons(tables, category).select("lesson_id", "subject_id").filter("subject_id IS NOT NULL").distinct()
+    return _sliced(tables, results.join(subject_of, "lesson_id"), category)
+
+
+def _in_blocks(tables: Tables, lesson_rows: DataFrame) -> DataFrame:
+    """(subject_id, role, lesson_rows): what each role may see of a subject, some `BLOCK` lessons a row."""
+    roles = F.array_compact(F.array(*[F.when(role_sees(F.lit(role), *[F.col(c) for c in ACCESS]), role) for role in ROLES]))
+    sizes = lesson_rows.groupBy("subject_id").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    rows = lesson_rows.join(tables.lookup(sizes, "subjects"), "subject_id")
+    block = F.pmod(F.xxhash64("lesson_id", "lesson_order", "lesson_name"), F.col("blocks")).alias("block")
+    return rows.select("subject_id", block, F.explode(roles).alias("role"), F.struct(*LESSON).alias("lesson")).groupBy(
+        "subject_id", "block", "role").agg(F.collect_list("lesson").alias("lesson_rows")).drop("block")
 
 
 def expand(tables: Tables, subjects_of_users: DataFrame, category: Any = LESSON_CATEGORY,
            all_types: bool = True) -> DataFrame:
     """Multiply user x subject rows by the lessons the user's role may see.
 
+    The lessons of a subject and role lie in arrays, so a user's subject meets some rows and not thousands, and its lessons
+    are read one after the other.
+
     A few bytes of user x subject rows become many of lessons, so parts sized by their bytes would be far too few.
-    The rows are spread by user and subject first, which also splits a user with very many subjects, over as many tasks as
-    the predicted number of rows needs.
+    Small lessons are broadcast, and the rows are spread by user first, over as many tasks as the predicted number of rows
+    needs: all of a user stays in one task, at most as many rows as there are lessons. Other lessons are
+    dealt by subject, with the users of a subject in slices (column `SLICE`).
     """
     rows, lesson_rows = subjects_of_users, lessons(tables, category, all_types)
     if "role" not in rows.columns:
         rows = rows.withColumn("role", access_role(F.col("user_type"), F.col("is_master_trainer")))
+    blocks = _in_blocks(tables, lesson_rows)
     if tables.is_small("lessons", "lesson_types"):
-        rows, lesson_rows = rows.repartition(_spread(tables, category), "user_id", "subject_id"), F.broadcast(lesson_rows)
-    return rows.join(lesson_rows, "subject_id").filter(role_sees(F.col("role"), *[F.col(c) for c in ACCESS]))
+        met = rows.repartition(_spread(tables, category), "user_id").join(F.broadcast(blocks), ["subject_id", "role"])
+        return met.select(*rows.columns, F.inline("lesson_rows"))
+    slices, tasks = _slices(tables, category)
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("slices"), F.lit(1)) - 1)).alias(SLICE)
+    blocks = blocks.join(tables.lookup(slices, "subjects"), "subject_id", "left").select("subject_id", "role", "lesson_rows", copies)
+    met = _sliced(tables, rows, category).join(
+        blocks.repartition(tasks, "subject_id", SLICE).hint("merge"), ["subject_id", SLICE, "role"])
+    return met.select(*rows.columns, SLICE, F.inline("lesson_rows"))
 
 
 def _path(tables: Tables, scope: Scope, path: str, category: Any) -> DataFrame:
-    rows = subject_rows(tables, scope, (path,), unique=False)
-    return shaped(with_basis(expand(tables, rows, category)), PATH_ALLOCATION_OUTPUT)
+    rows = with_basis(subject_rows(tables, scope, (path,), unique=False))
+    return shaped(expand(tables, rows, category), PATH_ALLOCATION_OUTPUT)
 
 
 def non_ple(tables: Tables, scope: Scope = EVERYONE, category: Any = LESSON_CATEGORY) -> DataFrame:
@@ -314,14 +380,14 @@ def staff(tables: Tables, scope: Scope = EVERYONE, category: Any = LESSON_CATEGO
 
 
 def combined(tables: Tables, scope: Scope = EVERYONE, paths: Sequence[str] = PATHS,
-             category: Any = LESSON_CATEGORY, all_types: bool = True) -> DataFrame:
+             category: Any = LESSON_CATEGORY, all_types: bool = True, keep_slice: bool = False) -> DataFrame:
     """One row per user and lesson over the chosen paths.
 
     A lesson has one subject, so one row per user and subject before the expansion
-    leaves one row per user and lesson after it.
+    leaves one row per user and lesson after it. ``keep_slice`` keeps the column `SLICE`, where ``expand`` gave one.
     """
-    rows = subject_rows(tables, scope, paths)
-    return shaped(with_basis(expand(tables, rows, category, all_types)), ALLOCATION_OUTPUT)
+    rows = expand(tables, with_basis(subject_rows(tables, scope, paths)), category, all_types)
+    return shaped(rows, {**ALLOCATION_OUTPUT, **({SLICE: "int"} if keep_slice and SLICE in rows.columns else {})})
 
 
 def one_per_lesson(path_rows: DataFrame) -> DataFrame:

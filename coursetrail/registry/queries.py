@@ -283,7 +283,7 @@ def duplicate_attempts(t):
 
 @_query
 def allocation_completion(t):
-    rows = completion.with_completion(allocation.combined(t, category=CATEGORY, all_types=False), t)
+    rows = completion.with_completion(allocation.combined(t, category=CATEGORY, all_types=False, keep_slice=True), t, category=CATEGORY)
     return rows.select("user_id", "lesson_id", "score", "rating", "data_from", "duration", "completed")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from functools import reduce
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +40,7 @@ class Tables:
         self._loaded: dict[str, DataFrame] = dict(replaced or {})
         self._clean_times = clean_times
         self._measured: dict[str, tuple[int, int]] = dict(measured or {})
-        self._known: dict[str, int] = {}
+        self._known: dict[str, Any] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in SOURCE_TYPES:
@@ -59,8 +60,8 @@ class Tables:
         known = {name: size for name, size in self._measured.items() if name not in frames}
         return Tables(self.spark, self._loader, {**self._loaded, **frames}, self._clean_times, known)
 
-    def known(self, what: str, find: Callable[[], int]) -> int:
-        """A number about these tables, found once."""
+    def known(self, what: str, find: Callable[[], Any]) -> Any:
+        """Something about these tables, found once."""
         if what not in self._known:
             self._known[what] = find()
         return self._known[what]

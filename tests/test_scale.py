@@ -113,3 +113,47 @@ def test_tasks_of_the_expansion_follow_the_predicted_rows(spark, monkeypatch):
     assert tasks() == 4
     monkeypatch.setattr(allocation, "ROWS_PER_TASK", 5)
     assert tasks() > 20
+
+
+def above_lessons(frame):
+    """For each place where user x lesson rows arise, the operators they pass, from there to the root."""
+    path, found = [], []
+    for line in plan_of(frame).split("\n"):
+        name = re.sub(r"^[ :|+\-]*(\*\(\d+\) )?", "", line)
+        depth = len(line) - len(re.sub(r"^[ :|+\-]*", "", line))
+        path = [(d, n) for d, n in path if d < depth]
+        if name.startswith("Generate inline"):
+            found.append([n.split(" ")[0].split("(")[0] for _, n in reversed(path)])
+        path.append((depth, name))
+    return found
+
+
+def test_exploded_lessons_are_counted_before_anything_is_shuffled(spark):
+    found = above_lessons(completion.merge_exploded(tables(spark)))
+    assert found
+    for above in found:
+        moved = next(i for i, name in enumerate(above) if name in ("Exchange", "Sort", "Window", "SortMergeJoin", "BroadcastExchange"))
+        assert {"HashAggregate", "ShuffledHashJoin"} & set(above[:moved])
+
+
+def test_lessons_beyond_a_broadcast_are_dealt_by_subject_and_slice(spark, monkeypatch):
+    from coursetrail.sources import tables as module
+
+    def results():
+        t = tables(spark)
+        frames = [allocation.combined(t), allocation.staff(t), completion.merge(t), completion.merge_exploded(t),
+                  completion.with_completion(allocation.combined(t, keep_slice=True), t).drop(allocation.SLICE)]
+        return [sorted(map(str, frame.collect())) for frame in frames], frames
+
+    small, _ = results()
+    monkeypatch.setattr(module, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(allocation, "ROWS_PER_TASK", 2)
+    monkeypatch.setattr(allocation, "BLOCK", 2)
+    large, frames = results()
+    assert large == small and large[2] == large[3]
+    assert re.search(rf"hashpartitioning\(subject_id#\d+, {allocation.SLICE}#\d+, \d+\), REPARTITION_BY_NUM", plan_of(frames[0]))
+    # One subject's users are in several slices.
+    t = tables(spark)
+    assert allocation._slices(t, allocation.LESSON_CATEGORY)[0].agg(F.max("slices")).first()[0] > 1
+    (above,) = above_lessons(completion.with_completion(allocation.combined(t, keep_slice=True), t))
+    assert not {"Exchange", "Sort", "Window"} & set(above)
