@@ -128,6 +128,12 @@ def above_lessons(frame):
     return found
 
 
+def test_allocated_lessons_meet_their_results_where_they_arise(spark):
+    t = tables(spark)
+    (above,) = above_lessons(completion.with_completion(allocation.combined(t, keep_slice=True), t))
+    assert "ShuffledHashJoin" in above and not {"Exchange", "Sort", "Window"} & set(above)
+
+
 def test_exploded_lessons_are_counted_before_anything_is_shuffled(spark):
     found = above_lessons(completion.merge_exploded(tables(spark)))
     assert found
