@@ -142,6 +142,13 @@ def test_exploded_lessons_are_counted_before_anything_is_shuffled(spark):
         assert {"HashAggregate", "ShuffledHashJoin"} & set(above[:moved])
 
 
+def test_raw_path_rows_are_deduplicated_where_they_arise(spark):
+    t = tables(spark)
+    rows = allocation.non_ple(t).unionByName(allocation.ple(t)).unionByName(allocation.staff(t))
+    found = above_lessons(allocation.one_per_lesson(rows))
+    assert len(found) == 3 and all("Exchange" not in above for above in found)
+
+
 def test_lessons_beyond_a_broadcast_are_dealt_by_subject_and_slice(spark, monkeypatch):
     from coursetrail.sources import tables as module
 
