@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from coursetrail.llm.fm_index import FMIndex, repeated_windows
 from coursetrail.llm.order import free_name, parts
 from coursetrail.llm.words import coded, pieces_of, ranges
-from coursetrail.session import stored
+from coursetrail.session import kept, stored
 
 WINDOW = 35
 GRAM = 8
@@ -205,10 +205,12 @@ def sharded(batches: Iterator[pa.RecordBatch], key: str, sized: str, size: int)
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_words: int = SHARD_WORDS) -> DataFrame:
     """(doc_id, text_hash, spans): for each document with repeated windows, the word intervals [a, b) to remove."""
-    every = stored(_stretch_rows(docs, window, gram), "stretches")
-    # Stored, so that both sides of the join come as they lie, and a minimizer with very many rows can be split.
-    repeated = stored(every.groupBy("minimizer").agg(F.sum("places").alias("n")).where("n > 1").select("minimizer"), "minimizers")
-    keep = stored(every.join(repeated, "minimizer", "left_semi"), "stretches")
+    # Stored, so that both sides of the join come as they lie, and a minimizer with very many rows can be split. All
+    # stretches go as soon as those that may repeat are written.
+    with kept(_stretch_rows(docs, window, gram), "stretches") as every:
+        repeated = every.groupBy("minimizer").agg(F.sum("places").alias("n")).where("n > 1").select("minimizer")
+        with kept(repeated, "minimizers") as repeated:
+            keep = stored(every.join(repeated, "minimizer", "left_semi"), "stretches")
     place = F.struct("doc_id", "text_hash", "first", "windows")
     chosen = keep.groupBy("minimizer", "content").agg(F.count("*").alias("copies"), F.min(place).alias("place")).select(
         "minimizer", "content", "copies", "place.*")

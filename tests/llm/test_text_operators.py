@@ -4,12 +4,13 @@ import hashlib
 import zlib
 from collections import Counter, defaultdict
 from math import log2
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from coursetrail.llm import digest, main_text, pieces, ppm, repair
+from coursetrail.llm import digest, main_text, pieces, ppm, repair, substrings
 from coursetrail.llm.words import coded, pieces_of
 
 ODD = [None, "", " ", "a", "Hello, WORLD. it's  two\tspaces\n", "日本語 テキスト 😀", "É" * 40, "### # ##", "x" * 3000, "a b " * 700, " lead trail ",
@@ -419,3 +420,12 @@ def test_main_text_of_rows(spark):
     texts = {r.page_id: r.text for r in found}
     assert (texts[2], texts[3], texts[None], texts[6]) == ("", "", "x < y < z", "a b c") and len(texts[4]) == 50_000 * 10 - 1
     assert main_text.extracted(pages.limit(0)).isEmpty()
+
+
+def test_stretches_go_once_those_that_may_repeat_are_written(spark):
+    root = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = {f.name for f in root.glob("*")}
+    passage = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, f"a b {passage}"), (2, f"{passage} c d"), (3, "alone")], "doc_id bigint, text string")
+    assert sorted(r["n_removed"] for r in substrings.removals(docs).collect()) == [0, 60, 60]
+    assert sorted(f.name.partition("-")[0] for f in root.glob("*") if f.name not in before) == ["spans", "stretches"]
