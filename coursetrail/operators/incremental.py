@@ -57,7 +57,7 @@ def refreshed(tables: Tables, log: str, stored: DataFrame, since: Any) -> DataFr
 
 # ---------------------------------------------------------------- the stored completion table
 
-RANGES = 100  # stretches of days that one read names at most
+RANGES = 16  # stretches of days that one read names at most; each is compared with every row
 
 
 def day_sums(tables: Tables, log: str, since: date | None = None) -> DataFrame:
@@ -94,14 +94,16 @@ def stretches(days: Iterable[date]) -> list[tuple[date, date]]:
 
 
 def attempts_of(tables: Tables, log: str, days: Iterable[date | None]) -> DataFrame:
-    """Finished attempts of some days, of users the log is meant for; the days reach the scan."""
+    """Finished attempts of some days, of users the log is meant for; stretches that hold these days reach the scan."""
     days = list(days)
-    moment = F.col("completed_at")
-    wanted = [(moment >= F.lit(a).cast("timestamp_ntz")) & (moment < F.lit(b).cast("timestamp_ntz")) for a, b in stretches(d for d in days if d is not None)]
-    wanted += [moment.isNull()] if None in days else []
+    known, moment = [d for d in days if d is not None], F.col("completed_at")
+    near = [(moment >= F.lit(a).cast("timestamp_ntz")) & (moment < F.lit(b).cast("timestamp_ntz")) for a, b in stretches(known)]
+    missing = [moment.isNull()] if None in days else []
     types = LEARNER_TYPES if log == "learner" else STAFF_TYPES
     meant = tables.users.filter(is_active(F.col("status"), F.col("deleted_at")) & F.col("type").isin(*types))
-    rows = completed(tables, log).filter(reduce(or_, wanted, F.lit(False)))
+    rows = completed(tables, log).filter(reduce(or_, near + missing, F.lit(False)))
+    # A set of days is one look-up a row, however many they are.
+    rows = rows.filter(reduce(or_, missing, F.to_date(moment).isin(known)))
     return on_open_lessons(tables, rows.join(meant.select(F.col("id").alias("user_id")), "user_id", "left_semi"))
 
 
