@@ -21,8 +21,10 @@ table gives an empty result.
 from __future__ import annotations
 
 import json
+import os
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -77,20 +79,32 @@ class WordEncoder:
         self._add(words, np.array([i for x in ids for i in x], np.uint32), np.fromiter(map(len, ids), np.int64, len(ids)))
 
     def _letters(self, words: list[str]) -> None:
+        told, flats, sizes, others = [], [], [], []
         for at in range(0, len(words), 1000):
             some = words[at:at + 1000]
-            flat = np.array(self.library.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
+            one, = self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)  # without places in the text
+            flat = np.array(one.ids, np.uint32)
             ends = np.flatnonzero(self.ends[flat]) + 1
             if len(ends) == len(some) and (not len(flat) or ends[-1] == len(flat)):
-                self._add(some, flat, np.diff(np.concatenate(([0], ends))))
+                told += some
+                flats.append(flat)
+                sizes.append(np.diff(np.concatenate(([0], ends))))
             else:
-                self._each(some)
+                others += some
+        if told:
+            self._add(told, np.concatenate(flats), np.concatenate(sizes))
+        if others:
+            self._each(others)
 
     def learn(self, words: list[str]) -> np.ndarray:
         """The slot of each word."""
         if len(self.slots) > self.most:
             self.forget()
-        new = [w for w in words if w not in self.slots]
+        slots = np.fromiter(map(self.slots.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(slots < 0)
+        new = [words[i] for i in unknown.tolist()]
+        if not new:
+            return slots
         if self.ends is None:
             self._each(new)
         else:
@@ -105,7 +119,8 @@ class WordEncoder:
                 two = np.array([[self.slots[cut[w]], self.slots[w[len(cut[w]):]]] for w in whole])
                 size = self.size[two]
                 self._add(whole, self.flat[ranges(self.begin[two].ravel(), size.ravel())], size.sum(axis=1))
-        return np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words))
+        slots[unknown] = np.fromiter(map(self.slots.__getitem__, new), np.int64, len(new))
+        return slots
 
     def encode(self, texts: pa.Array, end: int | None) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids): the ids of text i are ids[offsets[i]:offsets[i + 1]]; `end` closes each of them."""
@@ -115,26 +130,31 @@ class WordEncoder:
             special |= np.asarray(pc.match_substring(texts, mark, ignore_case=True))
         texts_in_words = pc.if_else(pa.array(special), "", texts)
         offsets, codes, distinct = coded(texts_in_words if self.ends is None else spaced(texts_in_words), ascii_lower=True)
-        slots = self.learn(distinct.to_pylist())[codes]
-        begin, size = self.begin, self.size
-        flat = [self.flat]
+        slots = self.learn(distinct.to_pylist())
+        # A table of this batch's words alone: the ids of a word are bytes, and Arrow puts them together.
+        size = self.size[slots]
+        flat = [self.flat[ranges(self.begin[slots], size)]]
         odd = np.flatnonzero(special)
         whole = [self.library.encode(texts[int(i)].as_py(), add_special_tokens=False).ids for i in odd]
         closing = [] if end is None else [[end]]
-        extra = np.fromiter(map(len, whole + closing), np.int64, len(whole) + len(closing))
         flat += [np.array(x, np.uint32) for x in whole + closing]
-        begin = np.concatenate((begin, len(self.flat) + np.cumsum(extra) - extra))
-        size = np.concatenate((size, extra))
+        size = np.concatenate((size, np.fromiter(map(len, whole + closing), np.int64, len(whole) + len(closing))))
         # What goes in between the words: a whole text at its row's start, the end id at its row's end.
-        row, at, value = odd, offsets[odd], len(self.size) + np.arange(len(odd))
+        row, at, value = odd, offsets[odd], len(slots) + np.arange(len(odd))
         if end is not None:
             row, at = np.concatenate((row, np.arange(len(texts)))), np.concatenate((at, offsets[1:]))
             value = np.concatenate((value, np.full(len(texts), len(size) - 1)))
         order = np.argsort(row, kind="stable")
-        slots = np.insert(slots, at[order], value[order])
+        codes = np.insert(codes, at[order], value[order])
         words = np.diff(offsets) + special + (end is not None)
-        ids = np.concatenate(flat)[ranges(begin[slots], size[slots])]
-        ends = np.concatenate(([0], np.cumsum(size[slots])))[np.concatenate(([0], np.cumsum(words)))]
+        if not len(codes):
+            return np.zeros(len(texts) + 1, np.int64), np.zeros(0, np.uint32)
+        table = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [
+            None, pa.py_buffer(4 * np.concatenate(([0], np.cumsum(size)))), pa.py_buffer(np.concatenate(flat))])
+        _, places, data = table.take(pa.array(codes)).buffers()
+        places = np.frombuffer(places, np.int64, len(codes) + 1) // 4
+        ids = np.frombuffer(data or b"", np.uint32, int(places[-1]))
+        ends = places[np.concatenate(([0], np.cumsum(words)))]
         return ends, ids
 
 
@@ -163,6 +183,7 @@ def _encoder(spec: str) -> WordEncoder:
     key = zlib.crc32(spec.encode())
     if key not in _encoders:
         _encoders.clear()
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         _encoders[key] = WordEncoder(spec)
     return _encoders[key]
 
@@ -192,10 +213,15 @@ def compress(ids: np.ndarray, symbols: int, end: int, least: int = LEAST) -> tup
         filled = np.bincount(bucket, minlength=(1 << BUCKETS) + 1)
         filled[-1] = 0
         limit = max(least, min(limit, int(filled.max())) // 8)
-        at = np.flatnonzero(filled[bucket] >= limit)
-        keys = seq[at].astype(np.uint64) << np.uint64(32) | seq[at + 1]
-        order = np.argsort(keys, kind="stable")
-        ranked = keys[order]
+        at = np.flatnonzero((filled >= limit)[bucket])
+        bits = np.uint64(16 if full <= 1 << 16 else 32)
+        keys = seq[at].astype(np.uint64) << bits | seq[at + 1]
+        if bits == 16:  # a pair and its place in one number, which sorts several times faster than places by pairs
+            ranked = np.sort(keys << np.uint64(32) | np.arange(len(at), dtype=np.uint64))
+            order, ranked = (ranked & np.uint64(0xFFFFFFFF)).astype(np.int64), ranked >> np.uint64(32)
+        else:
+            order = np.argsort(keys, kind="stable")
+            ranked = keys[order]
         new = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1]))) if len(at) else np.zeros(0, np.int64)
         counts = np.diff(np.append(new, len(at)))
         chosen = np.flatnonzero(counts >= limit)
@@ -215,7 +241,7 @@ def compress(ids: np.ndarray, symbols: int, end: int, least: int = LEAST) -> tup
         number = np.cumsum(good) - 1 + full
         at, mine = at[good[mine]], mine[good[mine]]
         pairs = ranked[new[chosen[good]]]
-        rules.append(np.stack((pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)), axis=1).astype(np.int64))
+        rules.append(np.stack((pairs >> bits, pairs & ((np.uint64(1) << bits) - np.uint64(1))), axis=1).astype(np.int64))
         full, room = full + len(pairs), room - len(pairs)
         seq[at] = number[mine]
         keep = np.ones(len(seq), bool)
@@ -299,7 +325,7 @@ def write(docs: DataFrame, tokenizer: str, end: int, path: str, shard_tokens: in
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value)
-        for batch in pieces_of(batches, "text", 1 << 22):
+        for batch in pieces_of(batches, "text", 1 << 23):
             offsets, ids = encoder.encode(batch.column("text"), end)
             binary = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [
                 None, pa.py_buffer(offsets * kind.itemsize), pa.py_buffer(ids.astype(kind))])

@@ -182,6 +182,35 @@ def test_words_encode_as_whole_texts(tokenizer):
                 assert ids[offsets[i]:offsets[i + 1]].tolist() == whole, text
 
 
+def test_new_words_are_encoded_without_places_and_known_ones_not_at_all(tokenizer):
+    class Counted:
+        def __init__(self, library):
+            self.library, self.calls = library, Counter()
+
+        def __getattr__(self, name):
+            self.calls[name] += name.startswith("encode")
+            return getattr(self.library, name)
+
+    with open(tokenizer, encoding="utf-8") as file:
+        encoder = repair.WordEncoder(file.read())
+    encoder.library = Counted(encoder.library)
+    texts = pa.array([x for x in ODD if x and "<|" not in x])
+    first = encoder.encode(texts, 2)
+    calls = dict(encoder.library.calls)
+    assert not calls.get("encode") and calls["encode_batch_fast"] > 0
+    again = encoder.encode(texts, 2)
+    assert dict(encoder.library.calls) == calls
+    assert all((a == b).all() for a, b in zip(first, again))
+
+
+def test_grammars_are_the_same_with_symbols_beyond_two_bytes():
+    rng = np.random.default_rng(1)
+    ids = rng.integers(0, 40, 50_000)
+    few, many = repair.compress(ids, 41, 40), repair.compress(ids, 1 << 17, 40)
+    moved = lambda x: np.where(x >= 41, x - 41 + (1 << 17), x)
+    assert len(few[1]) and (moved(few[0]) == many[0]).all() and (moved(few[1]) == many[1]).all()
+
+
 def test_grammar_and_random_access():
     rng = np.random.default_rng(0)
     for _ in range(100):
