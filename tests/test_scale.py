@@ -115,6 +115,13 @@ def test_tasks_of_the_expansion_follow_the_predicted_rows(spark, monkeypatch):
     assert tasks() > 20
 
 
+def test_rows_of_a_task_fit_a_sort_in_memory(spark):
+    """512 bytes a row, 512 MB a task."""
+    t, rows = tables(spark), 400_000_000
+    assert t.known(f"user x lesson rows of {allocation.LESSON_CATEGORY}", lambda: rows) == rows
+    assert rows / allocation._spread(t, allocation.LESSON_CATEGORY) * 512 <= 512 << 20
+
+
 def above_lessons(frame):
     """For each place where user x lesson rows arise, the operators they pass, from there to the root."""
     path, found = [], []
