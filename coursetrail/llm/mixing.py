@@ -45,20 +45,26 @@ def _number(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15), 16, 10).cast("bigint")
 
 
+def _probed(sources: DataFrame, exponents: list[float], total: int) -> DataFrame:
+    """One row of sums for each exponent, by its number k.
+
+    Exponents are data and not text of the plan, so the code that Spark makes is short and the same in every round.
+    """
+    raised = F.pow(F.col("n") / F.lit(float(total)), F.col("exponent")).alias("raised")
+    rows = sources.select("n", F.posexplode(F.lit([float(a) for a in exponents])).alias("k", "exponent")).select("k", "n", raised)
+    return rows.groupBy("k").agg(
+        F.sum("raised").alias("s"), F.sum(F.col("raised") * F.log("raised")).alias("l"),
+        F.max(F.col("raised") / F.col("n")).alias("most"), F.max(F.col("n") / F.col("raised")).alias("whole"))
+
+
 def _probes(sources: DataFrame, exponents: list[float], budget: int | str, total: int) -> list[tuple[float, float]]:
     """(entropy, most repeats) for each exponent."""
-    sums = []
-    for k, a in enumerate(exponents):
-        raised = F.pow(F.col("n") / F.lit(float(total)), F.lit(a))
-        sums += [F.sum(raised).alias(f"s{k}"), F.sum(raised * F.log(raised)).alias(f"l{k}"),
-                 F.max(raised / F.col("n")).alias(f"most{k}"), F.max(F.col("n") / raised).alias(f"whole{k}")]
-    row, found = sources.agg(*sums).first(), []
     from math import log
 
-    for k in range(len(exponents)):
-        s = row[f"s{k}"]
-        tokens_ = s * row[f"whole{k}"] if budget == "whole" else budget
-        found.append((log(s) - row[f"l{k}"] / s, row[f"most{k}"] / s * tokens_))
+    found = []
+    for _, row in sorted((row["k"], row) for row in _probed(sources, exponents, total).collect()):
+        tokens_ = row["s"] * row["whole"] if budget == "whole" else budget
+        found.append((log(row["s"]) - row["l"] / row["s"], row["most"] / row["s"] * tokens_))
     return found
 
 
@@ -99,7 +105,9 @@ def mixture(docs: DataFrame, entropy: float = 0.97, repeat: float = 4.0, budget:
     number = _number(F.lit(str(seed)), F.col("key"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     rows = rows.withColumn("number", number).withColumn("block", (F.col("number") % blocks).cast("int"))
     # One pass over the texts gives the blocks' sizes; all of the choice is made on these.
-    sizes = stored(rows.groupBy("key", "block").agg(F.sum("n_tokens").alias("n")), "mixing-blocks")
+    # A file for each core is enough for them, however many parts a shuffle has.
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    sizes = stored(rows.groupBy("key", "block").agg(F.sum("n_tokens").alias("n")).coalesce(cores), "mixing-blocks")
     sources = stored(sizes.groupBy("key").agg(F.sum("n").alias("n")), "mixing-sources")
     total = sources.agg(F.sum("n")).first()[0] or 0
     wanted = total if budget is None else budget

@@ -66,6 +66,43 @@ def test_exponent_meets_its_targets(spark):
     assert mixing.exponent(sources, 1000, 1.0, 0.5, 1000) == 1.0
 
 
+def test_the_code_of_a_round_of_probes_does_not_depend_on_its_exponents(spark):
+    sources = spark.createDataFrame([(900,), (100,)], "n bigint")
+
+    def code(exponents):
+        plan = mixing._probed(sources, exponents, 1000)._jdf.queryExecution()
+        return [x for x in spark._jvm.PythonSQLUtils.explainString(plan, "codegen").split("\n") if x.startswith("/* ")]
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert code([0.0, 0.5]) and code([0.0, 0.5]) == code([0.25, 0.75]) and len(code([k / 32 for k in range(33)])) == len(code([0.0, 0.5]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert mixing._probes(sources, [0.0, 1.0], 1000, 1000) == [
+        (pytest.approx(math.log(2)), pytest.approx(5.0)), (pytest.approx(-0.9 * math.log(0.9) - 0.1 * math.log(0.1)), pytest.approx(1.0))]
+
+
+def test_sizes_of_blocks_fill_no_more_files_than_there_are_cores(spark, monkeypatch):
+    files, stored = {}, mixing.stored
+
+    def counted(df, purpose):
+        found = stored(df, purpose)
+        files[purpose] = len(found.inputFiles())
+        return found
+
+    monkeypatch.setattr(mixing, "stored", counted)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "101")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        docs = frame(spark, [(i, f"s{i % 3}", "word " * (i % 7)) for i in range(500)], "doc_id bigint, source string, text string")
+        assert mixing.mixture(docs).count() > 400
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert 0 < files["mixing-blocks"] <= spark.sparkContext.defaultParallelism
+
+
 def test_whole_budget_holds_every_document_once_and_no_more_often_than_the_limit(spark):
     rows = [(i, "big" if i < 80 else f"s{i % 4}", "word " * (i % 7)) for i in range(100)]
     docs = frame(spark, rows, "doc_id bigint, source string, text string")
