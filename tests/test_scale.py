@@ -177,3 +177,38 @@ def test_lessons_beyond_a_broadcast_are_dealt_by_subject_and_slice(spark, monkey
     assert allocation._slices(t, allocation.LESSON_CATEGORY)[0].agg(F.max("slices")).first()[0] > 1
     (above,) = above_lessons(completion.with_completion(allocation.combined(t, keep_slice=True), t))
     assert not {"Exchange", "Sort", "Window"} & set(above)
+
+
+def test_results_meet_blocks_of_lessons_and_not_single_lessons(spark, monkeypatch):
+    """The results of `allocation_completion` are joined below the expansion, in both plans, and give what the join above it gives."""
+    from coursetrail.registry import queries
+    from coursetrail.sources import tables as module
+    monkeypatch.setattr(queries, "CATEGORY", allocation.LESSON_CATEGORY)
+
+    def check(**moved):
+        t = tables(spark).with_tables(**moved)
+        found = queries.allocation_completion(t)
+        plain = completion.with_completion(allocation.combined(t, all_types=False, keep_slice=True), t).select(*found.columns)
+        rows = sorted(map(str, found.collect()))
+        assert rows == sorted(map(str, plain.collect())) and found.filter("completed = 1").count() > 0
+        (above,) = above_lessons(queries.allocation_completion(t))
+        assert set(above) <= {"Project", "AdaptiveSparkPlan"}, above
+        return rows
+
+    def twice(t):
+        return {n: t[n].union(t[n]) for n in ("lessons", "users", "learning_activities", "facilitator_learning_activities")}
+
+    small, doubled = check(), check(**twice(tables(spark)))
+    assert len(doubled) > len(small)
+    monkeypatch.setattr(module, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(allocation, "ROWS_PER_TASK", 2)
+    monkeypatch.setattr(allocation, "BLOCK", 2)
+    assert check() == small and check(**twice(tables(spark))) == doubled
+
+
+def test_merged_results_meet_blocks_of_lessons(spark):
+    t = tables(spark)
+    allocated = allocation.combined(t, results=completion.to_meet(t, "union"))
+    rows = completion.with_completion(allocated, t, "union")
+    plain = completion.with_completion(allocation.combined(t), t, "union")
+    assert rows.columns == plain.columns and sorted(map(str, rows.collect())) == sorted(map(str, plain.collect()))
