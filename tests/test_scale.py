@@ -212,3 +212,49 @@ def test_merged_results_meet_blocks_of_lessons(spark):
     rows = completion.with_completion(allocated, t, "union")
     plain = completion.with_completion(allocation.combined(t), t, "union")
     assert rows.columns == plain.columns and sorted(map(str, rows.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_folded_path_rows_are_deduplicated_by_block(spark, monkeypatch):
+    """What `allocation_dedup` does: blocks are compared as a whole, and lessons one by one only where another row may hold them too."""
+    from school import lesson, profile, school, user
+
+    from coursetrail.registry import queries
+    from coursetrail.sources import tables as module
+    monkeypatch.setattr(queries, "CATEGORY", allocation.LESSON_CATEGORY)
+    base = school()
+    changed = {
+        # Ids of several users, of one role and of two; two active users without an id.
+        "users": base["users"] * 2 + [user("batched", 2, mt=1), user("both", 1),
+                                    *((None, *user("nameless", kind)[1:]) for kind in (2, 3))],
+        "student_details": base["student_details"] * 2 + [profile("ple", "b1"), profile("both", "b1")],
+        # Ids of several lessons: in two subjects, in one subject with another place, as they are, and without an id.
+        "lessons": base["lessons"] + [lesson("l1", "s2", 7, facilitator=1), lesson("l2", "s1", 9, master=1), lesson("l5", "s2", 1),
+                                      lesson(None, "s1", 5, title="x"), lesson(None, "s2", 4, title="x")],
+        "centre_subject": base["centre_subject"] * 2,
+    }
+
+    def check():
+        t = tables(spark, **changed)
+        raw = [path(t) for path in (allocation.non_ple, allocation.ple, allocation.staff)]
+        plain = allocation.one_per_lesson(raw[0].unionByName(raw[1]).unionByName(raw[2])).collect()
+        found = queries.allocation_dedup(t).collect()
+        assert len({(r["user_id"], r["lesson_id"]) for r in found}) == len(found) > 20
+        # Two users without an id are equal in all that decides between them.
+        told = [sorted(str(r if r["user_id"] else (r["lesson_id"], r["subject_id"])) for r in rows) for rows in (found, plain)]
+        assert told[0] == told[1]
+        return told[0]
+
+    above = above_lessons(queries.allocation_dedup(tables(spark)))
+    assert [a for a in above if not {"Exchange", "Sort", "Window"} & set(a)], above
+    small = check()
+    monkeypatch.setattr(module, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(allocation, "ROWS_PER_TASK", 100)
+    monkeypatch.setattr(allocation, "BLOCK", 2)
+    assert check() == small
+
+
+def test_exploded_lessons_meet_results_in_blocks(spark):
+    """Lessons are counted without a join of single lessons, and looked up one by one only in blocks that hold a result."""
+    merged = completion.merge_exploded(tables(spark))
+    counted = [above for above in above_lessons(merged) if "HashAggregate" in above and "Join" not in "".join(above[:above.index("HashAggregate")])]
+    assert len(counted) == 1 and "LeftSemi" in plan_of(merged)
