@@ -258,3 +258,30 @@ def test_exploded_lessons_meet_results_in_blocks(spark):
     merged = completion.merge_exploded(tables(spark))
     counted = [above for above in above_lessons(merged) if "HashAggregate" in above and "Join" not in "".join(above[:above.index("HashAggregate")])]
     assert len(counted) == 1 and "LeftSemi" in plan_of(merged)
+
+
+def test_the_prediction_is_the_number_of_raw_rows(spark):
+    """Tasks are cut by it: counting every lesson of a centre for all its users made them five times as many."""
+    t = tables(spark)
+    allocation._spread(t, allocation.LESSON_CATEGORY)
+    predicted = t.known(f"user x lesson rows of {allocation.LESSON_CATEGORY}", lambda: None)
+    assert predicted == sum(path(t).count() for path in (allocation.non_ple, allocation.ple, allocation.staff))
+
+
+def test_users_pass_by_block_after_block(spark, monkeypatch):
+    """What is written repeats: in a task, users with the same lessons follow each other."""
+    from itertools import groupby
+
+    from coursetrail.sources import tables as module
+    monkeypatch.setattr(allocation, "BLOCK", 1)
+
+    def runs(*keys):
+        rows = allocation.combined(tables(spark)).select(F.spark_partition_id().alias("task"), "*").collect()
+        of = [tuple(r[k] for k in ("task", *keys)) for r in rows]
+        return len(list(groupby(of))), len(set(of))
+
+    found, least = runs("subject_id")
+    assert found == least
+    monkeypatch.setattr(module, "BROADCAST_ROWS", 1)
+    found, least = runs("subject_id", "user_id")
+    assert found > least
